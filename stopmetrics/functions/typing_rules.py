@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from stopmetrics.schema import DELAY_STATUSES, TRUE_TEXTS
 
 _SWISS_STAMP = r"^\s*(\d{1,2})\.(\d{1,2})\.(\d{4})\s+(\d{1,2}:\d{1,2}(?::\d{1,2})?)\s*$"
-_SWISS_DAY = r"^\s*(\d{1,2})\.(\d{1,2})\.(\d{4})\s*$"
-_ISO_DAY = r"^\s*\d{4}-\d{1,2}-\d{1,2}\s*$"
+# Groups 3-2-1 of a Swiss day or 4-5-6 of an ISO day; any other text matches the last branch and loses all digits.
+_DAY = r"(?s)^\s*(?:(\d{1,2})\.(\d{1,2})\.(\d{4})|(\d{4})-(\d{1,2})-(\d{1,2}))\s*$|^.*$"
 
 
 def parse_timestamp(text: Column) -> Column:
@@ -24,8 +24,7 @@ def parse_timestamp(text: Column) -> Column:
 
 def parse_operating_day(text: Column) -> Column:
     """`YYYY-MM-DD` or `DD.MM.YYYY` as a date; NULL for anything else, also for a date with a time."""
-    iso = F.regexp_replace(text.cast("string"), _SWISS_DAY, "$3-$2-$1")
-    return F.when(iso.rlike(_ISO_DAY), iso.try_cast("date"))
+    return F.regexp_replace(text.cast("string"), _DAY, "$3$4-$2$5-$1$6").try_cast("date")
 
 
 def normalize_status(status: Column) -> Column:

@@ -77,7 +77,9 @@ def dedup_stops(typed: DataFrame) -> DataFrame:
 
 def stops_flagged(raw: DataFrame) -> DataFrame:
     """Typed stops without pass-throughs and repeats; cancelled stops stay, flagged, because the facts count them."""
-    return dedup_stops(exclude_pass_through(typed_stops(raw), F.col("is_pass_through")))
+    stopping = exclude_pass_through(typed_stops(raw), F.col("is_pass_through"))
+    # Known to be false from here on: a constant needs no place in sort and shuffle.
+    return dedup_stops(stopping.withColumn("is_pass_through", F.lit(False)))
 
 
 def without_cancelled(flagged: DataFrame) -> DataFrame:

@@ -12,10 +12,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """Share rows among all cores when the files give fewer scan tasks than that; large tables stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def _constant_array(texts: list[str | None]) -> Column:
+    return F.array(*[F.lit(text).cast("string") for text in texts])
+
+
+def _constant_map(pairs: dict[str, str]) -> Column:
+    return F.create_map(*[F.lit(text) for pair in pairs.items() for text in pair])
+
+
 def raw_stop_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Inner joins on keys, no hints: Spark picks broadcast or sort-merge from measured sizes."""
+    lineitem = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag"
+    )
     joined = (
-        table(spark, sf_dir, "lineitem")
+        _spread(lineitem)
         .join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
         .join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
@@ -25,39 +42,43 @@ def raw_stop_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     outlier = F.when(part % 211 == 0, 12000).when(part % 223 == 0, -4000).otherwise(0)
     derived = joined.select(
         "*",
-        F.date_add(F.lit("2026-01-01").cast("date"), (F.col("l_orderkey") % 90).cast("int"))
-        .cast("timestamp_ntz")
-        .alias("midnight"),
-        (300 + (F.col("l_orderkey") * 7) % 1080 + 6 * (line - 1)).alias("arr_min"),
-        ((part * 37 + F.col("l_suppkey") * 11 + line * 53) % 1500 - 240 + outlier).alias("delay_s"),
+        F.date_add(F.lit("2026-01-01").cast("date"), (F.col("l_orderkey") % 90).cast("int")).alias("op_day"),
+        F.when(part % 19 == 0, " ").otherwise("").alias("pad"),
+        ((300 + (F.col("l_orderkey") * 7) % 1080 + 6 * (line - 1)) * 60).cast("int").alias("arrival"),
+        ((part * 37 + F.col("l_suppkey") * 11 + line * 53) % 1500 - 240 + outlier).cast("int").alias("delay"),
+        ((F.col("l_suppkey") % 5) * 30 + 60).cast("int").alias("stay"),
+    )
+    seconds = {
+        "arrival_iso": F.col("arrival"),
+        "actual_iso": F.col("arrival") + F.col("delay"),
+        "departure_iso": F.col("arrival") + F.lit(60),
+        "left_iso": F.col("arrival") + F.col("delay") + F.col("stay"),
+    }
+    timed = derived.select(
+        "*",
+        *[
+            F.timestamp_add("SECOND", after, F.col("op_day").cast("timestamp_ntz")).cast("string").alias(name)
+            for name, after in seconds.items()
+        ],
     )
 
-    def iso(seconds: Column) -> Column:
-        return F.timestamp_add("SECOND", seconds.cast("int"), F.col("midnight")).cast("string")
-
-    def swiss(seconds: Column, clock_length: int) -> Column:
-        text = iso(seconds)
-        return F.concat(
-            F.substring(text, 9, 2),
-            F.lit("."),
-            F.substring(text, 6, 2),
-            F.lit("."),
-            F.substring(text, 1, 4),
-            F.lit(" "),
-            F.substring(text, 12, clock_length),
-        )
-
-    arrival = F.col("arr_min") * 60
-    actual = arrival + F.col("delay_s")
-    departure = (F.col("arr_min") + 1) * 60
-    left = departure + F.col("delay_s") + (F.col("l_suppkey") % 5) * 30
-    quantity = F.col("l_quantity").cast("bigint")
-    twentieth = part % 20
+    def swiss(iso: str, form: str) -> Column:
+        """ISO text rearranged: $1 year, $2 month, $3 day, $4 hour and minute, $5 second."""
+        return F.regexp_replace(iso, r"^(\d+)-(\d+)-(\d+) (\d+:\d+)(:\d+)$", form)
+
+    to_minute, to_second = "$3.$2.$1 $4", "$3.$2.$1 $4$5"
+    # Lookups in constant arrays instead of long CASE chains keep the generated code small enough to be compiled.
+    flags = _constant_array(["true", "TRUE", "1", "yes", None, "t", "1.0"])
+    arrivals = ["REAL"] * 11 + ["ESTIMATED"] * 4 + ["real", "FORECAST", "UNKNOWN", None, "NULL"]
+    departures = ["REAL"] * 11 + ["ESTIMATED"] * 4 + ["UNKNOWN"] * 5
+    types = {"1-URGENT": "IC", "2-HIGH": "IR", "3-MEDIUM": "S", "4-NOT SPECIFIED": "Bus"}
+    quantity = F.col("l_quantity").cast("int")
+    twentieth = (part % 20).cast("int")
     priority = F.col("o_orderpriority")
     line_id = (F.col("o_custkey") % 12 + 1).cast("string")
     values = {
-        "BETRIEBSTAG": F.when(F.col("l_orderkey") % 2 == 0, F.substring(swiss(F.lit(0), 5), 1, 10)).otherwise(
-            F.substring(iso(F.lit(0)), 1, 10)
+        "BETRIEBSTAG": F.when(F.col("l_orderkey") % 2 == 0, F.date_format("op_day", "dd.MM.yyyy")).otherwise(
+            F.col("op_day").cast("string")
         ),
         "FAHRT_BEZEICHNER": F.col("l_orderkey").cast("string"),
         "BETREIBER_ID": F.concat(F.lit("85:"), F.col("n_nationkey").cast("string")),
@@ -67,42 +88,28 @@ def raw_stop_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         "LINIEN_ID": line_id,
         "LINIEN_TEXT": F.concat(F.lit("L"), line_id),
         "UMLAUF_ID": F.lit(None).cast("string"),
-        "VERKEHRSMITTEL_TEXT": F.when(F.col("l_orderkey") % 97 == 0, F.lit(None).cast("string"))
-        .when(priority == "1-URGENT", "IC")
-        .when(priority == "2-HIGH", "IR")
-        .when(priority == "3-MEDIUM", "S")
-        .when(priority == "4-NOT SPECIFIED", "Bus")
-        .otherwise("RE"),
+        "VERKEHRSMITTEL_TEXT": F.when(
+            F.col("l_orderkey") % 97 != 0, F.coalesce(F.element_at(_constant_map(types), priority), F.lit("RE"))
+        ),
         "ZUSATZFAHRT_TF": F.when(F.col("l_orderkey") % 41 == 0, "true").otherwise("false"),
-        "FAELLT_AUS_TF": F.when(quantity == 1, "true")
-        .when(quantity == 2, "TRUE")
-        .when(quantity == 3, "1")
-        .when(quantity == 4, "yes")
-        .when(quantity == 5, F.lit(None).cast("string"))
-        .when(quantity == 6, "t")
-        .when(quantity == 7, "1.0")
-        .otherwise("false"),
+        "FAELLT_AUS_TF": F.when(quantity.between(1, 7), F.get(flags, quantity - 1)).otherwise("false"),
         "BPUIC": (F.lit(8500000) + F.col("l_suppkey")).cast("string"),
         "HALTESTELLEN_NAME": F.col("s_name"),
-        "ANKUNFTSZEIT": F.when(line != 1, swiss(arrival, 5)),
-        "AN_PROGNOSE": F.when(line == 1, F.lit(None).cast("string"))
-        .when(part % 101 == 0, "n/a")
-        .when(part % 17 == 0, iso(actual))
-        .when(part % 19 == 0, F.concat(F.lit(" "), swiss(actual, 8), F.lit(" ")))
-        .otherwise(swiss(actual, 8)),
-        "AN_PROGNOSE_STATUS": F.when(twentieth <= 10, "REAL")
-        .when(twentieth <= 14, "ESTIMATED")
-        .when(twentieth == 15, "real")
-        .when(twentieth == 16, "FORECAST")
-        .when(twentieth == 17, "UNKNOWN")
-        .when(twentieth == 19, "NULL"),
-        "ABFAHRTSZEIT": F.when(line != 7, swiss(departure, 5)),
-        "AB_PROGNOSE": F.when(line != 7, swiss(left, 8)),
-        "AB_PROGNOSE_STATUS": F.when(twentieth <= 10, "REAL").when(twentieth <= 14, "ESTIMATED").otherwise("UNKNOWN"),
+        "ANKUNFTSZEIT": F.when(line != 1, swiss("arrival_iso", to_minute)),
+        "AN_PROGNOSE": F.when(
+            line != 1,
+            F.when(part % 101 == 0, "n/a")
+            .when(part % 17 == 0, F.col("actual_iso"))
+            .otherwise(F.concat("pad", swiss("actual_iso", to_second), "pad")),
+        ),
+        "AN_PROGNOSE_STATUS": F.get(_constant_array(arrivals), twentieth),
+        "ABFAHRTSZEIT": F.when(line != 7, swiss("departure_iso", to_minute)),
+        "AB_PROGNOSE": F.when(line != 7, swiss("left_iso", to_second)),
+        "AB_PROGNOSE_STATUS": F.get(_constant_array(departures), twentieth),
         "DURCHFAHRT_TF": F.when((F.col("l_returnflag") == "R") & (part % 5 == 0), "true").otherwise("false"),
         "SLOID": F.concat(F.lit("ch:1:sloid:"), F.col("l_suppkey").cast("string")),
     }
-    return derived.select(*[values[name].alias(name) for name in RAW_COLUMNS])
+    return timed.select(*[values[name].alias(name) for name in RAW_COLUMNS])
 
 
 def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
