@@ -13,9 +13,8 @@ from stopmetrics.functions.measures import delay_minutes, delay_minutes_by_parts
 from stopmetrics.functions.typing_rules import has_delay_status, normalize_flag, null_label
 from stopmetrics.operators.slices import DEFAULT_RANGE_MIN, check_range, delay_range, is_computable, with_delay
 
-_INTEGER = r"^\s*[+-]?\d+\s*$"
-_DECIMAL = r"^\s*[+-]?((\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity))\s*$"
-_BOOLEAN = r"^(?i:true|false)$"
+# A number or a boolean; anything else is text.
+_LITERAL = r"^\s*[+-]?(?:(?:\d+(?:\.\d*)?|\.\d+)(?:[eE][+-]?\d+)?|(?i:inf|infinity))\s*$|^(?i:true|false)$"
 
 
 def _column(name: str) -> Column:
@@ -33,33 +32,35 @@ def profile_overview(df: DataFrame) -> DataFrame:
 def column_types(df: DataFrame) -> DataFrame:
     """(column, dtype) by column name; a text column gets the narrowest type all its values fit.
 
-    Every value is classed once (1 integer, 2 decimal, 4 boolean, 8 other) and the classes of a column are or-ed
-    together, one integer per column and task.
+    Cells become (column, value) rows inside the scan tasks. Each value is classed once (1 integer, 2 decimal,
+    4 boolean, 8 other) and the classes of a column are or-ed together, so one integer per column and task is
+    shuffled. A row of NULLs keeps the columns of an empty input.
     """
-
-    def kind(name: str) -> Column:
-        value = _column(name)
-        return (
-            F.when(value.isNull(), F.lit(0))
-            .when(value.rlike(_INTEGER), F.lit(1))
-            .when(value.rlike(_DECIMAL), F.lit(2))
-            .when(value.rlike(_BOOLEAN), F.lit(4))
-            .otherwise(F.lit(8))
-        )
-
-    def dtype(name: str, schema_type: str) -> Column:
-        if schema_type != "string":
-            return F.lit(schema_type).alias(name)
-        seen = F.coalesce(_column(name), F.lit(0))
-        return (
-            F.when(seen == 1, "bigint").when(seen.isin(2, 3), "double").when(seen == 4, "boolean").otherwise("string")
-        ).alias(name)
-
     kinds = dict(df.dtypes)
-    texts = [name for name, schema_type in kinds.items() if schema_type == "string"]
-    seen = df.agg(F.count(F.lit(1)).alias("__rows"), *[F.bit_or(kind(name)).alias(name) for name in texts])
-    named = seen.select(*[dtype(name, schema_type) for name, schema_type in kinds.items()])
-    return _long_form(named, [], df.columns, "column", "dtype").orderBy("column")
+    texts = df.select(
+        *[(_column(n) if k == "string" else F.lit(None).cast("string")).alias(n) for n, k in kinds.items()]
+    )
+    nulls = df.sparkSession.range(1).select(*[F.lit(None).cast("string").alias(name) for name in kinds])
+    cells = texts.union(nulls).unpivot([], [_column(name) for name in kinds], "column", "value")
+    matched = cells.select("column", "value", F.regexp_extract("value", _LITERAL, 0).alias("match"))
+    match = F.col("match")
+    kind = (
+        F.when(F.col("value").isNull(), 0)
+        .when(match == "", 8)
+        .when(F.lower(match).isin("true", "false"), 4)
+        .when(F.translate(match, ".eEiI", "") == match, 1)
+        .otherwise(2)
+    )
+    seen = matched.groupBy("column").agg(F.bit_or(kind).alias("seen"))
+    inferred = (
+        F.when(F.col("seen") == 1, "bigint")
+        .when(F.col("seen").isin(2, 3), "double")
+        .when(F.col("seen") == 4, "boolean")
+        .otherwise("string")
+    )
+    typed = [F.lit(text) for pair in kinds.items() if pair[1] != "string" for text in pair]
+    dtype = F.coalesce(F.element_at(F.create_map(*typed), F.col("column")), inferred) if typed else inferred
+    return seen.select("column", dtype.alias("dtype")).orderBy("column")
 
 
 def null_rates(df: DataFrame) -> DataFrame:

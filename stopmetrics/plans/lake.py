@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stopmetrics.functions.typing_rules import parse_operating_day
@@ -79,32 +79,31 @@ def replace_day(raw: DataFrame, table: str, day: str | dt.date) -> None:
 
 
 def replace_days(raw: DataFrame, table: str, days: Iterable[str | dt.date] | None = None) -> None:
-    """`replace_day` for several days, or for every day `raw` holds, in one pass over `raw`.
+    """`replace_day` for several days, or for every day `raw` holds, in one write.
 
-    The write notes which days it saw. Asked-for days without rows are then cleared one by one; there are at most
-    as many as the caller named.
+    With `days`, one pass over the day column alone finds those without rows, which are then cleared one by one;
+    there are at most as many as the caller named.
     """
     rows = _as_table_rows(raw, table)
     if days is None:
-        targets = []
-        wanted = rows.where(F.col(DAY_COLUMN).isNotNull())
-    else:
-        targets = sorted({dt.date.fromisoformat(str(day)) for day in days})
-        wanted = rows.where(F.col(DAY_COLUMN).isin(targets))
-    seen = Observation()
-    balanced = (
-        wanted.observe(seen, F.collect_set(DAY_COLUMN).alias("days"))
-        .hint("rebalance", DAY_COLUMN)
-        .sortWithinPartitions(DAY_COLUMN, CLUSTER_COLUMN)
-    )
-    raw.sparkSession.sql(
+        _overwrite_days_present(rows.where(F.col(DAY_COLUMN).isNotNull()), table)
+        return
+    targets = {dt.date.fromisoformat(str(day)) for day in days}
+    wanted = rows.where(F.col(DAY_COLUMN).isin(sorted(targets)))
+    filled = {row[0] for row in wanted.select(DAY_COLUMN).distinct().collect()}
+    if filled:
+        _overwrite_days_present(wanted, table)
+    for day in sorted(targets - filled):
+        _overwrite_day(rows.where(F.lit(False)).drop(DAY_COLUMN), table, day)
+
+
+def _overwrite_days_present(rows: DataFrame, table: str) -> None:
+    # The rebalance lets Spark split a day that holds most of the rows, and join small days into one task.
+    balanced = rows.hint("rebalance", DAY_COLUMN).sortWithinPartitions(DAY_COLUMN, CLUSTER_COLUMN)
+    rows.sparkSession.sql(
         f"INSERT OVERWRITE TABLE {table} WITH ('partitionOverwriteMode' = 'dynamic') SELECT * FROM {{rows}}",
         rows=balanced,
     )
-    filled = set(seen.get.get("days") or []) if targets else set()
-    for day in targets:
-        if day not in filled:
-            _overwrite_day(rows.where(F.lit(False)).drop(DAY_COLUMN), table, day)
 
 
 def read_days(spark: SparkSession, *roots: str) -> DataFrame:
