@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from stopmetrics.plans.lake import create_day_table, replace_days
-from stopmetrics.schema import RAW_SCHEMA
+from stopmetrics.schema import RAW_COLUMNS, RAW_SCHEMA
 from stopmetrics.sources.stop_files import CSV_OPTIONS, DAILY_NAME, blank_na
 
 _SOURCE = rf"^(.*{DAILY_NAME})"
@@ -36,15 +39,18 @@ def incremental_ingest(
     checkpoint: str,
     location: str | None = None,
     files_per_batch: int | None = 1,
+    columns: Iterable[str] = RAW_COLUMNS,
 ) -> StreamingQuery:
     """Load all daily CSV files that arrived since the last run, then stop; returns the started query.
 
     With `files_per_batch=1` days load one after another, oldest file first, each file holding a whole day. With
     None everything new loads as one batch, all days in parallel; a day may then be a folder of part files, as
-    Spark writes them, that appears as a whole.
+    Spark writes them, that appears as a whole. `columns` names the files' columns in order, for files of an older
+    layout; a file with another header stops the load.
     """
     create_day_table(spark.createDataFrame([], RAW_SCHEMA), table, location)
-    reader = spark.readStream.schema(RAW_SCHEMA).options(**CSV_OPTIONS)
+    layout = T.StructType([T.StructField(name, T.StringType()) for name in columns])
+    reader = spark.readStream.schema(layout).options(**CSV_OPTIONS)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     path = F.col("_metadata.file_path")

@@ -81,9 +81,9 @@ def test_shared_folder_comes_from_the_session(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
 
 
-def daily(folder, day, *trips, rows_day=None):
-    header = ";".join(RAW_COLUMNS)
-    lines = [";".join([rows_day or day, trip] + [""] * (len(RAW_COLUMNS) - 2)) for trip in trips]
+def daily(folder, day, *trips, rows_day=None, columns=RAW_COLUMNS):
+    header = ";".join(columns)
+    lines = [";".join([rows_day or day, trip] + [""] * (len(columns) - 2)) for trip in trips]
     (folder / f"{day}_istdaten.csv").write_text("\n".join([header, *lines]) + "\n", encoding="utf-8")
 
 
@@ -127,3 +127,13 @@ def test_ingest_refuses_files_without_a_day_and_split_days(spark, tmp_path, tabl
     (part / "2026-03-01_istdaten.csv").rename(part / "part-0.csv")
     with pytest.raises(Exception, match="split over files"):
         run(spark, split / "*", table_name(), new_folder(spark, "state"))
+
+
+def test_ingest_of_an_older_layout_and_of_rows_of_another_day(spark, tmp_path, table_name):
+    table, older = table_name(), RAW_COLUMNS[:-1]
+    daily(tmp_path, "2026-03-01", "a", columns=older)
+    daily(tmp_path, "2026-03-02", "b", rows_day="2026-03-01", columns=older)
+    run(spark, tmp_path, table, new_folder(spark, "state"), columns=older)
+    assert contents(spark, table) == [("2026-03-01", "a")]
+    with pytest.raises(Exception, match="header"):
+        run(spark, tmp_path, table_name(), new_folder(spark, "state"))
