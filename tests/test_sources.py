@@ -134,3 +134,16 @@ def test_last_link_of_a_day_wins(spark):
 def test_pending_days(spark):
     left = archive.pending_days(days(spark, "a", "b"), days(spark, "b").where(F.col("day").isNotNull()))
     assert [r[0] for r in left.collect()] == ["a"]
+
+
+def test_csv_with_byte_order_mark_and_windows_line_ends(spark, tmp_path):
+    path = tmp_path / "w.csv"
+    path.write_bytes(("﻿" + HEADER + "\r\n2026-03-01;S;REAL;;;false\r\n").encode())
+    frame = stop_files.require_columns(stop_files.scan_csv(spark, str(path)))
+    assert tuple(frame.first()) == ("2026-03-01", "S", "REAL", None, None, "false")
+
+
+def test_csv_rows_with_too_few_and_too_many_fields(spark, tmp_path):
+    path = write(tmp_path, "f.csv", HEADER, "a;b", "1;2;3;4;5;6")
+    rows = [tuple(row) for row in stop_files.scan_csv(spark, path).collect()]
+    assert rows == [("a", "b", None, None, None, None), ("1", "2", "3", "4", "5", "6")]
