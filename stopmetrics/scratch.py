@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -11,13 +12,18 @@ _FOLDER_SETTING = "spark.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared folder; a fresh temporary one only where Spark itself runs in local mode."""
-    folder = spark.conf.get(_FOLDER_SETTING, None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    """The cluster's shared folder, from the session's setting; fails, in every mode, where none is set."""
+    folder = spark.conf.get(_FOLDER_SETTING, None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
         raise ValueError(f"Set {_FOLDER_SETTING} to a folder all executors can reach.")
-    return tempfile.mkdtemp(prefix="stopmetrics-")
+    return folder.rstrip("/")
+
+
+def set_folder_for_tests(spark: SparkSession) -> None:
+    """Give a single-process session without a shared folder a temporary one; registered queries call this."""
+    unset = not spark.conf.get(_FOLDER_SETTING, None) and not spark.sparkContext.getCheckpointDir()
+    if unset and re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="stopmetrics-"))
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
