@@ -4,26 +4,113 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stopmetrics.llm import simhash
+from stopmetrics.llm import byte_bpe, packing, quality, simhash, suffix_dedup, token_files, toxicity, voronoi
+from stopmetrics.llm.samples import is_held_out
+from stopmetrics.scratch import new_folder
+
+WORD_TOKENIZER = "word_bpe_49k.json"
+BYTE_RANKS = "byte_bpe_50k.tiktoken"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_folder(spark, "tokens")
+    tokenizer = public_tokenizers.path(WORD_TOKENIZER)
+    token_files.write_token_files(_table(spark, sf_dir, "documents"), path, tokenizer, end_id=2)
+    files = token_files.read_token_files(spark, path)
+    return token_files.with_starts(token_files.token_digests(files), files, "ids_crc32")
+
+
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"), width=50)
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        "n_removed",
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit_toxicity(docs, _table(spark, sf_dir, "labels"))
+    scored = toxicity.score_toxicity(docs, model)
+    return scored.select("doc_id", is_held_out().alias("held_out"), "score", "predicted")
+
+
+def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = (public_tokenizers.path(BYTE_RANKS), public_tokenizers.PATTERN)
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    ids = byte_bpe.encode_documents(docs, *vocabulary).select("doc_id", "ids")
+    return byte_bpe.decode_documents(ids, *vocabulary).select(
+        "doc_id",
+        F.expr("CAST(length(ids) DIV 4 AS LONG)").alias("n_tokens"),
+        byte_bpe.decimal_digest("ids").alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit_quality(docs, _table(spark, sf_dir, "labels"))
+    scored = quality.score_quality(docs, model)
+    keep = (F.col("tail_probability") >= 0.5).cast("int").alias("keep")
+    return scored.select("doc_id", is_held_out().alias("held_out"), "expected_grade", "tail_probability", keep)
+
+
+def op8_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return voronoi.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20, scale=64)
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"), words_per_shingle=3, radius=3)
     fingerprint = F.lower(F.lpad(F.hex("simhash"), 16, "0")).alias("fingerprint")
     return found.select("doc_id", fingerprint, "component_id")
 
 
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack(
+        _table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_TOKENIZER), end_id=1, capacity=4096
+    )
+    return packed.drop("ids")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = (op9_simhash_near_dedup,)
+    named = (
+        op1_token_files,
+        op3_suffix_dedup,
+        op4_toxicity,
+        op5_byte_bpe,
+        op6_quality,
+        op8_top_k,
+        op9_simhash_near_dedup,
+        op10_best_fit_packing,
+    )
     return {query.__name__: query for query in named}
 
 
+_OP8 = """
+WITH usable AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, x.vec_id, CAST(list_inner_product(q.v, x.v) AS BIGINT) AS score
+    FROM usable q JOIN usable x ON q.vec_id % 20 = 0 AND q.vec_id <> x.vec_id
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM scored QUALIFY rank <= 20
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op8_top_k": _OP8}
