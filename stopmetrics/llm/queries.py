@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stopmetrics.llm import byte_bpe, packing, quality, simhash, suffix_dedup, token_files, toxicity, voronoi
+from stopmetrics.llm import (
+    byte_bpe,
+    line_dedup,
+    merkle,
+    packing,
+    quality,
+    simhash,
+    suffix_dedup,
+    token_files,
+    toxicity,
+    voronoi,
+)
 from stopmetrics.llm.samples import is_held_out
 from stopmetrics.scratch import new_folder
 
@@ -28,6 +39,11 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.with_starts(token_files.token_digests(files), files, "ids_crc32")
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.remove_repeated_chunks(docs, divisor=4, least_lines=2)
+
+
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"), width=50)
     return found.select(
@@ -66,6 +82,10 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", is_held_out().alias("held_out"), "expected_grade", "tail_probability", keep)
 
 
+def op7_merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.compare_with_edit(_table(spark, sf_dir, "documents"))
+
+
 def op8_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return voronoi.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20, scale=64)
 
@@ -86,10 +106,12 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = (
         op1_token_files,
+        op2_line_dedup,
         op3_suffix_dedup,
         op4_toxicity,
         op5_byte_bpe,
         op6_quality,
+        op7_merkle_fingerprints,
         op8_top_k,
         op9_simhash_near_dedup,
         op10_best_fit_packing,
@@ -97,6 +119,32 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {query.__name__: query for query in named}
 
 
+_OP2 = """
+WITH cut AS (
+    SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
+), line AS (
+    SELECT doc_id, unnest(lines) AS line, unnest(range(1, len(lines) + 1)) AS i FROM cut
+), hashed AS (
+    SELECT *, CAST('0x' || substr(md5(line), 1, 8) AS BIGINT) AS h FROM line
+), ended AS (
+    SELECT *, CAST((h + 31 * coalesce(lag(h) OVER (PARTITION BY doc_id ORDER BY i), 0)) % 4 = 0 AS INTEGER) AS ends FROM hashed
+), numbered AS (
+    SELECT *, coalesce(sum(ends) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS place
+    FROM ended
+), chunk AS (
+    SELECT doc_id, place, string_agg(line, chr(10) ORDER BY i) AS piece, count(*) FILTER (WHERE length(trim(line)) > 0) AS filled
+    FROM numbered GROUP BY doc_id, place
+), judged AS (
+    SELECT *, filled >= 2 AND row_number() OVER (PARTITION BY piece, filled >= 2 ORDER BY doc_id, place) > 1 AS gone FROM chunk
+), joined AS (
+    SELECT doc_id, coalesce(string_agg(piece, chr(10) ORDER BY place) FILTER (WHERE NOT gone), '') AS kept,
+        CAST(count(*) AS INTEGER) AS n_chunks, CAST(count(*) FILTER (WHERE gone) AS INTEGER) AS n_removed
+    FROM judged GROUP BY doc_id
+)
+SELECT doc_id, CASE WHEN n_removed = 0 THEN text ELSE kept END AS text, n_chunks, n_removed
+FROM joined JOIN documents USING (doc_id)
+"""
+
 _OP8 = """
 WITH usable AS (
     SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS v
@@ -113,4 +161,4 @@ FROM scored QUALIFY rank <= 20
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_top_k": _OP8}
+    return {"op2_line_dedup": _OP2, "op8_top_k": _OP8}
