@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable
-from functools import reduce
+from collections.abc import Callable, Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stopmetrics.functions.measures import delay_minutes
@@ -75,24 +74,39 @@ def edge_case_frames(df: DataFrame) -> dict[str, DataFrame]:
 def edge_preview(df: DataFrame, rows: int = 10) -> DataFrame:
     """First rows of each edge-case slice in column order; the limit is the feature.
 
-    Each slice keeps a heap of `rows` rows per task, so nothing is sorted or shuffled as a whole.
+    One scan: a row is repeated once per slice it belongs to. `row_number() <= rows` keeps that many rows per slice in
+    each task before the shuffle.
     """
-    previews = [
-        part.orderBy(*_nulls_last(part.columns)).limit(rows).withColumn("slice", F.lit(name))
-        for name, part in edge_case_frames(df).items()
-    ]
-    return reduce(DataFrame.unionByName, previews)
+    belongs = {  # the slices of `edge_case_frames`
+        "null_arrivals": F.col("ANKUNFTSZEIT").isNull(),
+        "non_delay_status": ~_measured(),
+        "cancelled": _cancelled(),
+    }
+    names = F.array_compact(F.array(*[F.when(condition, F.lit(name)) for name, condition in belongs.items()]))
+    first = Window.partitionBy("slice").orderBy(*_nulls_last(df.columns))
+    ranked = df.select("*", F.explode(names).alias("slice")).withColumn("place", F.row_number().over(first))
+    return ranked.where(F.col("place") <= rows).drop("place")
 
 
 def delay_outliers(df: DataFrame, limit: int | None = None) -> DataFrame:
     """Rows with an unreasonable delay, whatever their status; with `limit`, a preview from the lowest up."""
     low, high = REASONABLE_DELAY_MIN
-    found = with_delay(df).where((F.col("delay_min") < low) | (F.col("delay_min") > high))
+    found = _with_delay_where(df, lambda delay: (delay < low) | (delay > high))
     if limit is None:
         return found
     return found.orderBy(*_nulls_last(["delay_min", *df.columns])).limit(limit)
 
 
+def _with_delay_where(df: DataFrame, condition: Callable[[Column], Column]) -> DataFrame:
+    """`with_delay(df)` where the delay meets `condition`, each time parsed once per row.
+
+    The delay goes through a one-element array that `explode_outer` takes apart, empty where the row does not qualify: a
+    plain filter, also the one inferred from `explode`, would be pushed below and parse both times again.
+    """
+    kept = F.filter(F.array(delay_minutes()), condition)
+    return df.select("*", F.explode_outer(kept).alias("delay_min")).where(F.col("delay_min").isNotNull())
+
+
 def check_range(low: float, high: float) -> None:
     if low >= high:
         raise ValueError("The lowest delay must be less than the highest delay.")
@@ -100,17 +114,13 @@ def check_range(low: float, high: float) -> None:
 
 def delay_rows(df: DataFrame) -> DataFrame:
     """Rows behind the histogram: measured, not cancelled, with a delay."""
-    return with_delay(df).where(
-        _measured() & ~_cancelled() & F.col("delay_min").isNotNull()
-    )
+    return _with_delay_where(df.where(_measured() & ~_cancelled()), Column.isNotNull)
 
 
 def delay_range(df: DataFrame, low: float = DEFAULT_RANGE_MIN[0], high: float = DEFAULT_RANGE_MIN[1]) -> DataFrame:
     """`delay_rows` within [low, high], both ends included."""
     check_range(low, high)
-    return with_delay(df).where(
-        _measured() & ~_cancelled() & F.col("delay_min").between(low, high)
-    )
+    return _with_delay_where(df.where(_measured() & ~_cancelled()), lambda delay: delay.between(low, high))
 
 
 def exclude_pass_through(df: DataFrame, flag: Column | None = None) -> DataFrame:

@@ -2,39 +2,54 @@
 
 from __future__ import annotations
 
+import datetime as dt
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from stopmetrics.functions.typing_rules import parse_operating_day
 from stopmetrics.plans import warehouse
 
 
 def store(df: DataFrame, path: str, cluster: str, by_day: bool = True) -> DataFrame:
     """Write `df` to `path`, partitioned by operating day and sorted by `cluster`, and return it read back.
 
-    The rebalance splits a day that holds most of the rows and joins small days into one task.
+    Only the days that `df` holds are replaced. The rebalance splits a day that holds most of the rows and joins small
+    days into one task.
     """
     if by_day:
         balanced = df.hint("rebalance", "operating_day").sortWithinPartitions("operating_day", cluster)
-        balanced.write.mode("overwrite").partitionBy("operating_day").parquet(path)
+        writer = balanced.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy("operating_day").parquet(path)
     else:
         df.sortWithinPartitions(cluster).write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def build_warehouse(raw: DataFrame, root: str) -> dict[str, DataFrame]:
-    """Staging, facts and dimensions under `root`; raw rows are typed and deduplicated once for all of them."""
-    flagged = store(warehouse.stops_flagged(raw), f"{root}/stops_flagged", "transport_type")
+def build_warehouse(raw: DataFrame, root: str, days: Iterable[str | dt.date] | None = None) -> dict[str, DataFrame]:
+    """Staging, facts and dimensions under `root`; raw rows are typed and deduplicated once for all of them.
+
+    With `days`, only these days of `raw` are staged again and their facts replaced; the others keep their files. Stops
+    and facts never cross days, so the result is that of a full build. Dimensions are made anew from the stored
+    stops, of which they read their own few columns. A day among `days` must have rows; to clear one, delete its folders.
+    """
+    chosen = None if days is None else sorted({dt.date.fromisoformat(str(day)) for day in days})
+    rows = raw if chosen is None else raw.where(parse_operating_day(F.col("BETRIEBSTAG")).isin(chosen))
+    flagged = store(warehouse.stops_flagged(rows), f"{root}/stops_flagged", "transport_type")
+    changed = flagged if chosen is None else flagged.where(F.col("operating_day").isin(chosen))
     staged = warehouse.without_cancelled(flagged)
     return {
         "stops_flagged": flagged,
         "stg_stop_events": staged,
         "int_delays": warehouse.int_delays(staged),
-        "fct_daily_delays": store(warehouse.fct_daily_delays(flagged), f"{root}/fct_daily_delays", "transport_type"),
+        "fct_daily_delays": store(warehouse.fct_daily_delays(changed), f"{root}/fct_daily_delays", "transport_type"),
         "fct_station_delays": store(
-            warehouse.fct_station_delays(flagged), f"{root}/fct_station_delays", "station_code"
+            warehouse.fct_station_delays(changed), f"{root}/fct_station_delays", "station_code"
         ),
-        "dim_stations": store(warehouse.dim_stations(staged), f"{root}/dim_stations", "station_code", False),
-        "dim_operators": store(warehouse.dim_operators(staged), f"{root}/dim_operators", "operator_id", False),
+        "dim_stations": store(warehouse.dim_stations(flagged), f"{root}/dim_stations", "station_code", False),
+        "dim_operators": store(warehouse.dim_operators(flagged), f"{root}/dim_operators", "operator_id", False),
         "dim_transport_types": store(
-            warehouse.dim_transport_types(staged), f"{root}/dim_transport_types", "transport_type", False
+            warehouse.dim_transport_types(flagged), f"{root}/dim_transport_types", "transport_type", False
         ),
     }

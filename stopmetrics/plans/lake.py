@@ -27,17 +27,23 @@ def csv_to_parquet(spark: SparkSession, csv_path: str, parquet_path: str) -> Dat
 
 
 def write_lake(raw: DataFrame, root: str, target_day: str | None = None) -> None:
-    """Lay raw rows out as `root/year=YYYY/month=MM/day=DD`, replacing what is at `root`.
+    """Lay raw rows out as `root/year=YYYY/month=MM/day=DD`, replacing the days written and no others.
 
-    All rows go to `target_day` (`YYYY-MM-DD`), or each to its own parsed day when that is not given; rows
-    without a readable day go to Spark's NULL partition. The rebalance lets Spark split a day that holds most of
-    the rows over several tasks, and join small days into one.
+    All rows go to `target_day` (`YYYY-MM-DD`), whose folder alone is written, with no rows too; or each to its own
+    parsed day when that is not given, and rows without a readable day to Spark's NULL partition. The rebalance lets
+    Spark split a day that holds most of the rows over several tasks, and join small days into one.
     """
-    day = F.lit(target_day).cast("date") if target_day else parse_operating_day(F.col("BETRIEBSTAG"))
+    if target_day:
+        folder = dt.date.fromisoformat(target_day).strftime("year=%Y/month=%m/day=%d")
+        balanced = raw.hint("rebalance", CLUSTER_COLUMN).sortWithinPartitions(CLUSTER_COLUMN)
+        balanced.write.mode("overwrite").parquet(f"{root}/{folder}")
+        return
+    day = parse_operating_day(F.col("BETRIEBSTAG"))
     parts = list(_DATE_PARTS)
     dated = raw.select("*", *[F.date_format(day, pattern).alias(part) for part, pattern in _DATE_PARTS.items()])
     balanced = dated.hint("rebalance", *parts).sortWithinPartitions(*parts, CLUSTER_COLUMN)
-    balanced.write.mode("overwrite").partitionBy(*parts).parquet(root)
+    writer = balanced.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*parts).parquet(root)
 
 
 def read_lake(spark: SparkSession, root: str) -> DataFrame:
@@ -54,9 +60,21 @@ def create_day_table(raw: DataFrame, table: str, location: str | None = None) ->
     )
 
 
+def add_new_columns(raw: DataFrame, table: str) -> list[str]:
+    """Add to the table the columns of `raw` that it lacks, NULL in the rows it holds; returns their names."""
+    spark = raw.sparkSession
+    known = {name.lower() for name in spark.table(table).columns}
+    new = {name: kind for name, kind in raw.dtypes if name.lower() not in known}
+    if new:
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({', '.join(f'`{name}` {kind}' for name, kind in new.items())})")
+    return list(new)
+
+
 def _as_table_rows(raw: DataFrame, table: str) -> DataFrame:
-    """Rows in the table's column order, matched by name: a column new to one side never shifts the others."""
+    """Rows in the table's column order, matched by name: a column new to one side never shifts the others, and one
+    that is new to the table is added to it."""
     spark = raw.sparkSession
+    add_new_columns(raw, table)
     wanted = [name for name in spark.table(table).columns if name != DAY_COLUMN]
     columns = [F.col(f"`{name}`") if name in raw.columns else F.lit(None).alias(name) for name in wanted]
     return with_day(raw).select(*columns, DAY_COLUMN)
@@ -78,11 +96,16 @@ def replace_day(raw: DataFrame, table: str, day: str | dt.date) -> None:
     _overwrite_day(balanced, table, target)
 
 
-def replace_days(raw: DataFrame, table: str, days: Iterable[str | dt.date] | None = None) -> None:
+def replace_days(
+    raw: DataFrame,
+    table: str,
+    days: Iterable[str | dt.date] | None = None,
+    filled: Iterable[str | dt.date] | None = None,
+) -> None:
     """`replace_day` for several days, or for every day `raw` holds, in one write.
 
-    With `days`, one pass over the day column alone finds those without rows, which are then cleared one by one;
-    there are at most as many as the caller named.
+    With `days`, those without rows are cleared one by one; there are at most as many as the caller named. `filled`
+    tells which days have rows; without it, one pass over the day column alone finds them.
     """
     rows = _as_table_rows(raw, table)
     if days is None:
@@ -90,10 +113,13 @@ def replace_days(raw: DataFrame, table: str, days: Iterable[str | dt.date] | Non
         return
     targets = {dt.date.fromisoformat(str(day)) for day in days}
     wanted = rows.where(F.col(DAY_COLUMN).isin(sorted(targets)))
-    filled = {row[0] for row in wanted.select(DAY_COLUMN).distinct().collect()}
-    if filled:
+    if filled is None:
+        present = {row[0] for row in wanted.select(DAY_COLUMN).distinct().collect()}
+    else:
+        present = {dt.date.fromisoformat(str(day)) for day in filled}
+    if present:
         _overwrite_days_present(wanted, table)
-    for day in sorted(targets - filled):
+    for day in sorted(targets - present):
         _overwrite_day(rows.where(F.lit(False)).drop(DAY_COLUMN), table, day)
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -65,14 +66,18 @@ def typed_stops(raw: DataFrame) -> DataFrame:
 
 
 def dedup_stops(typed: DataFrame) -> DataFrame:
-    """One row per operating day, trip and station.
+    """One row per operating day, trip and station; rows that lack a part of that key all stay.
 
     `row_number() = 1` lets Spark keep only the best row per key within each task before the shuffle, so a key
-    that repeats without end sends one row per task.
+    that repeats without end sends one row per task. A row without a whole key is told from all others by a number of
+    its own, which also deals such rows evenly.
     """
     order = [F.col(name).asc_nulls_last() for name in _DEDUP_ORDER]
-    best = Window.partitionBy(*_DEDUP_KEY).orderBy(*order)
-    return typed.withColumn("stop_rank", F.row_number().over(best)).where("stop_rank = 1").drop("stop_rank")
+    whole = reduce(Column.__and__, [F.col(name).isNotNull() for name in _DEDUP_KEY])
+    typed = typed.withColumn("own", F.when(~whole, F.monotonically_increasing_id()))
+    best = Window.partitionBy(*_DEDUP_KEY, "own").orderBy(*order)
+    typed = typed.withColumn("stop_rank", F.row_number().over(best)).where("stop_rank = 1")
+    return typed.drop("stop_rank", "own")
 
 
 def stops_flagged(raw: DataFrame) -> DataFrame:
@@ -171,28 +176,29 @@ def fct_station_delays(flagged: DataFrame) -> DataFrame:
     )
 
 
-def _newest_attributes(staged: DataFrame, key: str, attributes: Iterable[str]) -> DataFrame:
+def _newest_attributes(flagged: DataFrame, key: str, attributes: Iterable[str]) -> DataFrame:
     """One row per non-NULL key with the attributes of its newest day, the greatest ones on that day.
 
     Distinct (key, attributes) come first, with map-side combining; choosing among them is then a small job.
     """
     names = list(attributes)
-    seen = staged.where(F.col(key).isNotNull()).groupBy(key, *names).agg(F.max("operating_day").alias("last_day"))
+    seen = flagged.where(F.col(key).isNotNull()).groupBy(key, *names).agg(F.max("operating_day").alias("last_day"))
     newest = Window.partitionBy(key).orderBy(
         F.col("last_day").desc_nulls_last(), *[F.col(name).desc_nulls_last() for name in names]
     )
     return seen.withColumn("age", F.row_number().over(newest)).where("age = 1").select(key, *names)
 
 
-def dim_stations(staged: DataFrame) -> DataFrame:
-    return _newest_attributes(staged, "station_code", ("station_name", "sloid"))
+def dim_stations(flagged: DataFrame) -> DataFrame:
+    """From `stops_flagged`, like the facts: a station with cancelled stops only has fact rows too."""
+    return _newest_attributes(flagged, "station_code", ("station_name", "sloid"))
 
 
-def dim_operators(staged: DataFrame) -> DataFrame:
-    return _newest_attributes(staged, "operator_id", ("operator_abbr", "operator_name"))
+def dim_operators(flagged: DataFrame) -> DataFrame:
+    return _newest_attributes(flagged, "operator_id", ("operator_abbr", "operator_name"))
 
 
-def dim_transport_types(staged: DataFrame) -> DataFrame:
+def dim_transport_types(flagged: DataFrame) -> DataFrame:
     code = F.col("transport_type")
     description = (
         F.when(code == "IC", "InterCity")
@@ -203,7 +209,7 @@ def dim_transport_types(staged: DataFrame) -> DataFrame:
         .when(code == "Bus", "Bus service")
         .otherwise(F.concat(F.lit("Other: "), code))
     )
-    return _newest_attributes(staged, "transport_type", ("product_id",)).withColumn("description", description)
+    return _newest_attributes(flagged, "transport_type", ("product_id",)).withColumn("description", description)
 
 
 def star_join(fact: DataFrame, *dimensions: tuple[DataFrame, str]) -> DataFrame:

@@ -16,9 +16,6 @@ def build_session(app: str = "stopmetrics", master: str | None = None, **conf: s
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
-        # The JVM never compiles methods above 8000 bytes, and compiles long ones late; beyond this size Spark
-        # generates split code instead of one method per stage.
-        "spark.sql.codegen.hugeMethodLimit": "4000",
     }
     settings.update({key.replace("__", "."): value for key, value in conf.items()})
     for key, value in settings.items():

@@ -1,11 +1,12 @@
-"""DuckDB SQL for each registered query, written independently of the Spark operators.
+"""DuckDB SQL for each registered query. Rules and fixed values are stated anew; column names and the parameters of the
+queries are shared with the code under test.
 
 DuckDB sees only the given tables, so every statement starts with the stop-event view as CTEs.
 """
 
 from __future__ import annotations
 
-from stopmetrics.schema import NA_TOKENS, RAW_COLUMNS, STAGING_NAMES
+from stopmetrics.schema import RAW_COLUMNS, STAGING_NAMES
 from stopmetrics.verification.queries import BASE_URL, CHOSEN_TYPES, FIRST_DAY, LAST_DAY, RELOADED_DAY
 
 _MINUTE, _SECOND, _ISO = "%d.%m.%Y %H:%M", "%d.%m.%Y %H:%M:%S", "%Y-%m-%d %H:%M:%S"
@@ -114,14 +115,37 @@ _TYPED = "\ntyped AS (SELECT " + ", ".join(
 _FIRST_STOP = """QUALIFY row_number() OVER (PARTITION BY operating_day, trip_id, station_code ORDER BY
     is_pass_through NULLS LAST, scheduled_arrival_at NULLS LAST, scheduled_departure_at NULLS LAST,
     actual_arrival_at NULLS LAST, actual_departure_at NULLS LAST, arrival_status NULLS LAST,
-    is_cancelled NULLS LAST, line_name NULLS LAST, transport_type NULLS LAST, operator_id NULLS LAST) = 1"""
+    is_cancelled NULLS LAST, line_name NULLS LAST, transport_type NULLS LAST, operator_id NULLS LAST) = 1
+  OR operating_day IS NULL OR trip_id IS NULL OR station_code IS NULL"""
 _FLAGGED = f"\nflagged AS (SELECT * FROM typed WHERE NOT is_pass_through {_FIRST_STOP})"
 _STAGED = "\nstaged AS (SELECT * FROM flagged WHERE NOT is_cancelled)"
 _DELAYS = f"""
 delays AS (
   SELECT *, {_WHOLE_DELAY} AS arrival_delay_min FROM staged WHERE arrival_status IN ('REAL', 'ESTIMATED')
 )"""
-_TOKENS = ", ".join(f"'{token}'" for token in NA_TOKENS)
+# Texts that a pandas CSV reader takes for missing, apart from the empty one.
+_NA = (
+    "",
+    "#N/A",
+    "#N/A N/A",
+    "#NA",
+    "-1.#IND",
+    "-1.#QNAN",
+    "-NaN",
+    "-nan",
+    "1.#IND",
+    "1.#QNAN",
+    "<NA>",
+    "N/A",
+    "NA",
+    "NULL",
+    "NaN",
+    "None",
+    "n/a",
+    "nan",
+    "null",
+)
+_TOKENS = ", ".join(f"'{token}'" for token in _NA)
 _BLANKED = "\nblanked AS (SELECT " + ", ".join(
     f"CASE WHEN {name} IN ({_TOKENS}) THEN NULL ELSE {name} END AS {name}" for name in RAW_COLUMNS
 ) + " FROM raw)"
@@ -130,6 +154,13 @@ profiled AS (
   SELECT *, {_DELAY} AS delay_min, {_MEASURED} AS measured, {_CANCELLED} AS cancelled FROM raw
 )"""
 
+_PLANNED, _REAL = _stamp("ANKUNFTSZEIT"), _stamp("AN_PROGNOSE")
+# The second delay formula: days apart, and seconds of the day apart.
+_BY_PARTS = f"""round((date_diff('day', CAST({_PLANNED} AS DATE), CAST({_REAL} AS DATE)) * 86400
+    + date_part('hour', {_REAL}) * 3600 + date_part('minute', {_REAL}) * 60 + date_part('second', {_REAL})
+    - date_part('hour', {_PLANNED}) * 3600 - date_part('minute', {_PLANNED}) * 60 - date_part('second', {_PLANNED}))
+    / 60e0, 3)"""
+
 _PAGES = """
 listing AS (
   SELECT page_id, html || '<a ' || CASE WHEN page_id % 7 = 0 THEN 'HREF' ELSE 'href' END || '="'
@@ -261,7 +292,7 @@ GROUP BY operating_day, station_code, transport_type"""
 def _dimension(key: str, attributes: tuple[str, ...], extra: str = "") -> str:
     names = ", ".join((key, *attributes))
     order = ", ".join(f"{name} DESC NULLS LAST" for name in ("operating_day", *attributes))
-    return f"""SELECT {names} {extra} FROM staged WHERE {key} IS NOT NULL
+    return f"""SELECT {names} {extra} FROM flagged WHERE {key} IS NOT NULL
 QUALIFY row_number() OVER (PARTITION BY {key} ORDER BY {order}) = 1"""
 
 
@@ -420,7 +451,7 @@ def oracle_sql() -> dict[str, str]:
         "formula_validation": _from_profiled(
             _long(
                 {
-                    "formula_match_max_abs_diff_min": "0e0",
+                    "formula_match_max_abs_diff_min": f"coalesce(max(abs(delay_min - {_BY_PARTS})) FILTER (WHERE measured AND NOT cancelled), 0e0)",
                     "validated_rows": f"CAST(count(*) FILTER (WHERE {ready}) AS DOUBLE)",
                 },
                 '"check"',
@@ -441,7 +472,8 @@ SELECT count(*) AS rows_total, count(*) FILTER (WHERE {ready}) AS delay_ready_ro
   count(*) FILTER (WHERE cancelled) AS cancelled_rows,
   count(*) FILTER (WHERE NOT measured) AS non_delay_status_rows,
   round(avg(delay_min), 3) AS mean_delay, round(quantile_cont(delay_min, 0.95), 3) AS p95_delay,
-  0e0 AS formula_max_abs_diff_min, any_value(t.value) AS top_transport_type,
+  coalesce(max(abs(delay_min - {_BY_PARTS})) FILTER (WHERE measured AND NOT cancelled), 0e0) AS formula_max_abs_diff_min,
+  any_value(t.value) AS top_transport_type,
   round(100e0 * any_value(t.n) / greatest(count(*), 1), 3) AS top_transport_share_pct
 FROM profiled, (SELECT COALESCE(VERKEHRSMITTEL_TEXT, 'NULL') AS value, count(*) AS n FROM raw
   GROUP BY 1 ORDER BY n DESC, value LIMIT 1) AS t"""),
@@ -455,9 +487,9 @@ FROM profiled, (SELECT COALESCE(VERKEHRSMITTEL_TEXT, 'NULL') AS value, count(*)
         ),
         "fct_daily_delays": _sql(_FLAGGED_STEPS, _DAILY),
         "fct_station_delays": _sql(_FLAGGED_STEPS, _STATION),
-        "dim_stations": _sql(_STAGED_STEPS, _STATIONS),
-        "dim_operators": _sql(_STAGED_STEPS, _OPERATORS),
-        "dim_transport_types": _sql(_STAGED_STEPS, _TYPES),
+        "dim_stations": _sql(_FLAGGED_STEPS, _STATIONS),
+        "dim_operators": _sql(_FLAGGED_STEPS, _OPERATORS),
+        "dim_transport_types": _sql(_FLAGGED_STEPS, _TYPES),
         "star_join": _sql(
             _STAGED_STEPS,
             f"SELECT * FROM ({_STATION}) LEFT JOIN ({_STATIONS}) USING (station_code) "

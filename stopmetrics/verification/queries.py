@@ -59,6 +59,13 @@ def _table_name(label: str) -> str:
     return f"{label}_{uuid.uuid4().hex}"
 
 
+def _stored(spark: SparkSession, table: str, location: str) -> DataFrame:
+    """The rows of an external table by its files, after the table's name is dropped from the catalog."""
+    schema = spark.table(table).schema
+    spark.sql(f"DROP TABLE {table}")
+    return spark.read.schema(schema).parquet(location)
+
+
 def _raw(operator: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: operator(raw_stop_events(spark, sf_dir))
 
@@ -113,8 +120,12 @@ def csv_to_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lake_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All days laid out, then one of them again: the others stay."""
     root = new_folder(spark, "raw")
-    lake.write_lake(raw_stop_events(spark, sf_dir), root)
+    raw = raw_stop_events(spark, sf_dir)
+    lake.write_lake(raw, root)
+    again = typing_rules.parse_operating_day(F.col("BETRIEBSTAG")) == F.lit(RELOADED_DAY).cast("date")
+    lake.write_lake(raw.where(again), root, target_day=RELOADED_DAY)
     return lake.read_lake(spark, root)
 
 
@@ -125,26 +136,30 @@ def create_day_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake.create_day_table(raw, table, location)
     lake.replace_days(raw, table)
     lake.create_day_table(raw, table, location)
-    return spark.table(table)
+    return _stored(spark, table, location)
 
 
 def replace_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All days loaded, then one day loaded again from corrected input: its cancelled stops are gone."""
     raw = raw_stop_events(spark, sf_dir)
     table = _table_name("replaced")
-    lake.load_table(raw, table, new_folder(spark, "replaced"))
+    location = new_folder(spark, "replaced")
+    lake.load_table(raw, table, location)
     corrected = raw.where(~typing_rules.normalize_flag(F.col("FAELLT_AUS_TF")))
     lake.replace_day(corrected, table, RELOADED_DAY)
-    return spark.table(table)
+    return _stored(spark, table, location)
 
 
 def add_missing_column(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Older files hold the days in ISO form and no day column."""
+    """Older files hold the days in ISO form and no day column; the newer ones are a table that got its SLOID late."""
     raw = raw_stop_events(spark, sf_dir)
     iso = F.col("BETRIEBSTAG").contains("-")
     older = _write_parquet(raw.where(iso), "older")
-    newer = _write_parquet(lake.with_day(raw.where(~iso)), "newer")
-    return lake.read_days(spark, older, newer)
+    table, location = _table_name("newer"), new_folder(spark, "newer")
+    lake.create_day_table(raw.drop("SLOID"), table, location)
+    lake.replace_days(raw.where(~iso), table)
+    spark.sql(f"DROP TABLE {table}")
+    return lake.read_days(spark, older, location)
 
 
 def target_days(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -160,16 +175,16 @@ def pending_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _write_daily_csv(raw_stop_events(spark, sf_dir), "arriving")
-    table = _table_name("ingested")
+    table, location = _table_name("ingested"), new_folder(spark, "ingested")
     incremental_ingest(
         spark,
         f"{root}/file=*",
         table,
         checkpoint=new_folder(spark, "ingest-state"),
-        location=new_folder(spark, "ingested"),
+        location=location,
         files_per_batch=None,
     ).awaitTermination()
-    return spark.table(table)
+    return _stored(spark, table, location)
 
 
 # Typing
@@ -227,14 +242,13 @@ def int_delays(staged: DataFrame) -> DataFrame:
 def _star(raw: DataFrame, station: bool) -> DataFrame:
     """Fact and dimensions share one written staging table instead of each deriving it."""
     flagged = written(warehouse.stops_flagged(raw), "flagged")
-    staged = warehouse.without_cancelled(flagged)
-    types = (warehouse.dim_transport_types(staged), "transport_type")
+    types = (warehouse.dim_transport_types(flagged), "transport_type")
     if station:
         return warehouse.star_join(
-            warehouse.fct_station_delays(flagged), (warehouse.dim_stations(staged), "station_code"), types
+            warehouse.fct_station_delays(flagged), (warehouse.dim_stations(flagged), "station_code"), types
         )
     return warehouse.star_join(
-        warehouse.fct_daily_delays(flagged), (warehouse.dim_operators(staged), "operator_id"), types
+        warehouse.fct_daily_delays(flagged), (warehouse.dim_operators(flagged), "operator_id"), types
     )
 
 
@@ -302,9 +316,9 @@ def queries() -> dict[str, Query]:
         "int_delays": _staged(int_delays),
         "fct_daily_delays": _flagged(warehouse.fct_daily_delays),
         "fct_station_delays": _flagged(warehouse.fct_station_delays),
-        "dim_stations": _staged(warehouse.dim_stations),
-        "dim_operators": _staged(warehouse.dim_operators),
-        "dim_transport_types": _staged(warehouse.dim_transport_types),
+        "dim_stations": _flagged(warehouse.dim_stations),
+        "dim_operators": _flagged(warehouse.dim_operators),
+        "dim_transport_types": _flagged(warehouse.dim_transport_types),
         "star_join": _raw(lambda raw: _star(raw, station=True)),
         "star_join_daily": _raw(lambda raw: _star(raw, station=False)),
         "test_delay_reasonable": _staged(lambda staged: quality.test_delay_reasonable(int_delays(staged))),
