@@ -86,8 +86,10 @@ def remove_repeated_chunks(docs: DataFrame, divisor: int = 4, least_lines: int =
         F.array_join(F.transform(left, lambda chunk: chunk["text"]), "\n")
     )
     shown = {"doc_id": F.col("doc_id"), "text": text.alias("text")}
-    return marked.select(
+    result = F.struct(
         *[shown[name] if name in shown else F.col(f"rest.`{name}`").alias(name) for name in names],
         F.size("chunks").alias("n_chunks"),
         F.coalesce(F.size("gone"), F.lit(0)).alias("n_removed"),
     )
+    # By way of a one-element array, which a caller's filter is not pushed through: see above.
+    return marked.select(F.inline_outer(F.array(result)))
