@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from stopmetrics.functions.measures import delay_minutes, delay_minutes_by_parts
 from stopmetrics.functions.typing_rules import has_delay_status, normalize_flag, null_label
-from stopmetrics.operators.slices import DEFAULT_RANGE_MIN, check_range, is_computable, with_delay
+from stopmetrics.operators.slices import DEFAULT_RANGE_MIN, check_range, delay_range, is_computable, with_delay
 
 # A number or a boolean; anything else is text.
 _LITERAL = r"^\s*[+-]?(?:(?:\d+(?:\.\d*)?|\.\d+)(?:[eE][+-]?\d+)?|(?i:inf|infinity))\s*$|^(?i:true|false)$"
@@ -170,13 +170,9 @@ def delay_histogram(
     """(bin_start, count) of the delays within [low, high]; bins are [k*width, (k+1)*width)."""
     if not 1 <= width <= 20:
         raise ValueError("Bin width must be between 1 and 20 minutes.")
-    check_range(low, high)
-    kept = has_delay_status(F.col("AN_PROGNOSE_STATUS")) & ~normalize_flag(F.col("FAELLT_AUS_TF"))
-    delay = F.col("delay_min")
-    start = F.when(delay.between(low, high), (F.floor(delay / F.lit(float(width))) * width).cast("bigint"))
-    # The bin of delays outside the range goes after counting: a filter on them would parse both times twice.
-    counts = with_delay(df.where(kept)).groupBy(start.alias("bin_start")).agg(F.count(F.lit(1)).alias("count"))
-    return counts.where(F.col("bin_start").isNotNull()).orderBy("bin_start")
+    start = (F.floor(F.col("delay_min") / F.lit(float(width))) * width).cast("bigint")
+    counts = delay_range(df, low, high).groupBy(start.alias("bin_start")).agg(F.count(F.lit(1)).alias("count"))
+    return counts.orderBy("bin_start")
 
 
 def range_coverage(

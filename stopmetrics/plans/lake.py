@@ -19,9 +19,9 @@ def with_day(raw: DataFrame) -> DataFrame:
     return raw.withColumn(DAY_COLUMN, parse_operating_day(F.col("BETRIEBSTAG")))
 
 
-def csv_to_parquet(spark: SparkSession, csv_path: str, parquet_path: str) -> DataFrame:
+def csv_to_parquet(spark: SparkSession, csv_path: str, parquet_path: str, multiline: bool = False) -> DataFrame:
     """Convert daily CSV to Parquet; fails on missing columns or no rows. Returns the files read back."""
-    raw = require_columns(scan_csv(spark, csv_path), in_name_order=True)
+    raw = require_columns(scan_csv(spark, csv_path, multiline), in_name_order=True)
     require_rows(raw, csv_path).write.mode("overwrite").parquet(parquet_path)
     return spark.read.schema(raw.schema).parquet(parquet_path)
 

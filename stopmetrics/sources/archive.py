@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
-import re
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stopmetrics.functions.links import absolute_url
@@ -33,14 +33,25 @@ def archive_index(pages: DataFrame, base_url: str) -> DataFrame:
     )
 
 
+def _or_fail(days: DataFrame, fails: Column, message: str) -> DataFrame:
+    """`days`, none of which comes out when `fails`, a condition over columns of `days`, holds for it."""
+    checked = F.when(fails, F.raise_error(F.lit(message)).cast("string")).otherwise(F.col("day"))
+    return days.withColumn("day", checked)
+
+
 def archive_latest_n(pages: DataFrame, base_url: str, days: int) -> DataFrame:
-    """The newest `days` published days, newest first; fails when no page announces any."""
+    """The newest `days` published days, newest first; reading the result fails when no page announces any.
+
+    One pass over the pages: an extra row without a day comes out first only if there is no other.
+    """
     if days < 1:
         raise ValueError("days must be >= 1")
-    newest = archive_index(pages, base_url).orderBy(F.desc("day")).limit(days)
-    if newest.isEmpty():
-        raise ValueError("Could not find any daily download links on the listing pages.")
-    return newest
+    nothing = pages.sparkSession.range(1).select(F.lit(None).cast("string").alias("day"), F.lit("").alias("url"))
+    newest = archive_index(pages, base_url).unionByName(nothing).orderBy(F.desc_nulls_last("day")).limit(days)
+    position = F.row_number().over(Window.orderBy(F.desc_nulls_last("day")))
+    failing = F.col("day").isNull() & (F.col("position") == 1)
+    checked = _or_fail(newest.withColumn("position", position), failing, "The listing pages announce no daily file.")
+    return checked.where("day IS NOT NULL").select("day", "url").orderBy(F.desc("day"))
 
 
 def available_days(pages: DataFrame) -> DataFrame:
@@ -49,16 +60,34 @@ def available_days(pages: DataFrame) -> DataFrame:
     return links.select(F.regexp_extract("link", _LINK_DAY, 1).alias("day")).distinct().orderBy("day")
 
 
-def _checked_run_date(run_date: object) -> str | None:
-    if run_date in (None, ""):
-        return None
-    if not isinstance(run_date, str) or not re.fullmatch(r"\d{4}-\d{2}-\d{2}", run_date):
-        raise ValueError("Invalid run_date format. Use YYYY-MM-DD.")
-    try:
-        dt.date.fromisoformat(run_date)
-    except ValueError as exc:
-        raise ValueError("Invalid run_date value. Use a real calendar date in YYYY-MM-DD.") from exc
-    return run_date
+@dataclass(frozen=True)
+class DayRequest:
+    """Which days a load run asks for: `count` days that end at `anchor`, or at the newest day when that is None."""
+
+    count: int = 1
+    anchor: str | None = None
+
+    def __post_init__(self) -> None:
+        if type(self.count) is not int or self.count not in range(1, MAX_BACKFILL_DAYS + 1):
+            raise ValueError(f"A run loads 1 to {MAX_BACKFILL_DAYS} days, not {self.count!r}.")
+        if self.anchor is not None:
+            try:
+                normal = dt.datetime.strptime(self.anchor, "%Y-%m-%d").date().isoformat()
+            except (TypeError, ValueError) as exc:
+                raise ValueError(f"{self.anchor!r} is no calendar day written as YYYY-MM-DD.") from exc
+            if normal != self.anchor:
+                raise ValueError(f"{self.anchor!r} is no calendar day written as YYYY-MM-DD.")
+
+    @classmethod
+    def of(cls, mode: str, run_date: str | None, backfill_days: int) -> DayRequest:
+        """From a run's parameters: mode `latest` ignores the date, mode `date` needs one."""
+        kinds = {"latest": None, "date": run_date or ""}
+        kind = mode.strip().lower() if isinstance(mode, str) else mode
+        if kind not in kinds:
+            raise ValueError(f"Unknown mode {mode!r}; choose from {', '.join(kinds)}.")
+        if run_date:
+            cls(1, run_date)
+        return cls(backfill_days, kinds[kind])
 
 
 def target_days(
@@ -66,28 +95,20 @@ def target_days(
 ) -> DataFrame:
     """The anchor day and the available days before it, `backfill_days` in all, ascending.
 
-    `available` holds distinct days. The anchor is the newest day, or `run_date` when mode is `date`.
+    `available` holds distinct days. The anchor is the newest day, or `run_date` when mode is `date`. Whether it is
+    published is checked by the same pass: reading the result fails where it is not.
     """
-    if not isinstance(mode, str):
-        raise ValueError("mode must be a string.")
-    chosen = mode.lower().strip()
-    if chosen not in ("latest", "date"):
-        raise ValueError("mode must be either 'latest' or 'date'.")
-    anchor = _checked_run_date(run_date)
-    if not isinstance(backfill_days, int):
-        raise ValueError("backfill_days must be an integer.")
-    if not 1 <= backfill_days <= MAX_BACKFILL_DAYS:
-        raise ValueError(f"backfill_days must be between 1 and {MAX_BACKFILL_DAYS}.")
-    if chosen == "date" and not anchor:
-        raise ValueError("run_date is required when mode = 'date'.")
-    if available.isEmpty():
-        raise ValueError("No downloadable dates found on the listing pages.")
-    candidates = available
-    if chosen == "date":
-        if available.where(F.col("day") == anchor).isEmpty():
-            raise ValueError(f"Requested run date {anchor} is not available in published archive.")
-        candidates = available.where(F.col("day") <= anchor)
-    return candidates.orderBy(F.desc("day")).limit(backfill_days).orderBy("day")
+    request = DayRequest.of(mode, run_date, backfill_days)
+    wanted = available.select("day")
+    if request.anchor is not None:
+        wanted = wanted.where(F.col("day") <= request.anchor)
+    nothing = available.sparkSession.range(1).select(F.lit(None).cast("string").alias("day"))
+    newest = wanted.unionByName(nothing).orderBy(F.desc_nulls_last("day")).limit(request.count)
+    first = F.first("day").over(Window.orderBy(F.desc_nulls_last("day")))
+    missing = F.col("first").isNull() if request.anchor is None else ~F.col("first").eqNullSafe(F.lit(request.anchor))
+    what = "No day" if request.anchor is None else f"The day {request.anchor}"
+    checked = _or_fail(newest.withColumn("first", first), missing, f"{what} is not among the published ones.")
+    return checked.where("day IS NOT NULL").select("day").orderBy("day")
 
 
 def pending_days(available: DataFrame, loaded: DataFrame) -> DataFrame:

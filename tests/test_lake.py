@@ -8,7 +8,7 @@ from conftest import stop
 from stopmetrics.plans import lake
 from stopmetrics.schema import RAW_COLUMNS
 from stopmetrics.scratch import new_folder, shared_folder
-from stopmetrics.streaming.ingest import incremental_ingest
+from stopmetrics.streaming.ingest import incremental_ingest, reload_day
 
 
 
@@ -137,3 +137,84 @@ def test_ingest_of_an_older_layout_and_of_rows_of_another_day(spark, tmp_path, t
     assert contents(spark, table) == [("2026-03-01", "a")]
     with pytest.raises(Exception, match="header"):
         run(spark, tmp_path, table_name(), new_folder(spark, "state"))
+
+
+def test_laying_out_a_day_leaves_the_others(spark, raw):
+    root = new_folder(spark, "lake")
+    lake.write_lake(raw(stop("a")), root, target_day="2026-03-01")
+    lake.write_lake(raw(stop("b")), root, target_day="2026-03-02")
+    lake.write_lake(raw(stop("c", BETRIEBSTAG="2026-03-02"), stop("d", BETRIEBSTAG="2026-03-03")), root)
+    lake.write_lake(raw(stop("e"), stop("f")), root, target_day="2026-03-03")
+    rows = lake.read_lake(spark, root).select("day", "FAHRT_BEZEICHNER").collect()
+    assert sorted(tuple(row) for row in rows) == [(1, "a"), (2, "c"), (3, "e"), (3, "f")]
+
+
+def test_new_columns_reach_the_table(spark, raw, table_name):
+    table = table_name()
+    older = raw(stop("a")).drop("SLOID")
+    lake.create_day_table(older, table, new_folder(spark, "grows"))
+    lake.replace_days(older, table)
+    lake.replace_day(raw(stop("b", BETRIEBSTAG="2026-03-02", SLOID="s")), table, "2026-03-02")
+    rows = spark.table(table).select("FAHRT_BEZEICHNER", "SLOID", lake.DAY_COLUMN).collect()
+    assert sorted((r[0], r[1], str(r[2])) for r in rows) == [("a", None, "2026-03-01"), ("b", "s", "2026-03-02")]
+
+
+def part(folder, day, name, *trips):
+    (folder / f"{day}_istdaten.csv").mkdir(parents=True, exist_ok=True)
+    daily(folder / f"{day}_istdaten.csv", day, *trips)
+    (folder / f"{day}_istdaten.csv" / f"{day}_istdaten.csv").rename(folder / f"{day}_istdaten.csv" / f"part-{name}.csv")
+
+
+def test_ingest_takes_part_files_of_a_day_as_a_whole_only(spark, tmp_path, table_name):
+    table, state = table_name(), new_folder(spark, "state")
+    with pytest.raises(ValueError, match="1 or None"):
+        run(spark, tmp_path, table, state, files_per_batch=2)
+    for name in "abcd":
+        part(tmp_path, "2026-03-01", name, f"t{name}")
+    run(spark, tmp_path / "*", table, state, files_per_batch=None)
+    assert [trip for _, trip in contents_text(spark, table)] == ["ta", "tb", "tc", "td"]
+    part(tmp_path, "2026-03-01", "e", "te")
+    with pytest.raises(Exception, match="were loaded before"):
+        run(spark, tmp_path / "*", table, state, files_per_batch=None)
+    assert spark.table(table).count() == 4
+    reload_day(spark, str(tmp_path / "2026-03-01_istdaten.csv"), table, "2026-03-01")
+    assert spark.table(table).count() == 5
+
+
+def test_ingest_refuses_files_without_rows_and_without_columns(spark, tmp_path, table_name):
+    table = table_name()
+    daily(tmp_path, "2026-03-01")
+    for _ in range(2):  # a refused file is tried again, not taken for loaded
+        with pytest.raises(Exception, match="No stop events in"):
+            run(spark, tmp_path, table, new_folder(spark, "state"))
+    with pytest.raises(ValueError, match="Missing required columns: FAELLT_AUS_TF"):
+        run(spark, tmp_path, table, new_folder(spark, "state"), columns=[c for c in RAW_COLUMNS if c != "FAELLT_AUS_TF"])
+
+
+def test_a_reloaded_day_is_seen_by_who_read_it_before(spark, tmp_path, table_name):
+    table, state = table_name(), new_folder(spark, "state")
+    daily(tmp_path, "2026-03-01", "a")
+    run(spark, tmp_path, table, state)
+    assert contents_text(spark, table) == [("2026-03-01", "a")]
+    (tmp_path / "again").mkdir()
+    daily(tmp_path / "again", "2026-03-01", "b", "c")
+    location = spark.sql(f"DESCRIBE EXTENDED {table}").where("col_name = 'Location'").first()[1]
+    incremental_ingest(spark, str(tmp_path / "again"), table, new_folder(spark, "state"), location).awaitTermination()
+    assert [trip for _, trip in contents_text(spark, table)] == ["b", "c"]
+    daily(tmp_path, "2026-03-01", "d")  # corrected under the same name
+    run(spark, tmp_path, table, state)
+    assert [trip for _, trip in contents_text(spark, table)] == ["b", "c"]
+    reload_day(spark, str(tmp_path / "2026-03-01_istdaten.csv"), table, "2026-03-01")
+    assert contents_text(spark, table) == [("2026-03-01", "d")]
+
+
+def test_intermediates_need_a_shared_folder():
+    class Context:
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = {}, Context()
+
+    with pytest.raises(ValueError, match="Set spark.checkpoint.dir"):
+        shared_folder(Session())

@@ -90,3 +90,12 @@ def test_outliers(raw):
     )
     assert sorted(row.delay_min for row in slices.delay_outliers(events).collect()) == [-60.017, 180.017]
     assert slices.delay_outliers(events, limit=1).first().delay_min == -60.017
+
+
+def test_times_are_parsed_once_and_files_scanned_once(spark, raw, tmp_path):
+    raw(stop()).write.parquet(str(tmp_path / "x"))
+    stored = spark.read.parquet(str(tmp_path / "x"))
+    once = slices.with_delay(stored)._jdf.queryExecution().optimizedPlan().toString().count("regexp")
+    for frame in (profile.delay_histogram(stored), slices.delay_range(stored), slices.delay_outliers(stored)):
+        assert frame._jdf.queryExecution().optimizedPlan().toString().count("regexp") == once
+    assert slices.edge_preview(stored)._jdf.queryExecution().optimizedPlan().toString().count("Relation") == 1

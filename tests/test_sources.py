@@ -3,6 +3,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from stopmetrics.plans import lake
 from stopmetrics.schema import NA_TOKENS, RAW_COLUMNS, REQUIRED_COLUMNS
 from stopmetrics.sources import archive, stop_files
 
@@ -61,7 +62,7 @@ def test_missing_columns_and_rows(spark, raw, tmp_path):
     with pytest.raises(ValueError, match="Missing required columns: AN_PROGNOSE, BETRIEBSTAG"):
         stop_files.require_columns(raw().drop("BETRIEBSTAG", "AN_PROGNOSE"), in_name_order=True)
     empty = write(tmp_path, "e_empty.csv", HEADER)
-    with pytest.raises(ValueError, match="CSV contains no rows"):
+    with pytest.raises(ValueError, match="No stop events in"):
         stop_files.require_rows(stop_files.scan_csv(spark, empty))
 
 
@@ -99,27 +100,42 @@ def test_target_days_take_available_days(spark):
 @pytest.mark.parametrize(
     ("arguments", "message"),
     [
-        ({"mode": "all"}, "mode must be either"),
-        ({"mode": 1}, "mode must be a string"),
-        ({"run_date": "1.3.2026"}, "Invalid run_date format"),
-        ({"run_date": "2026-02-30"}, "Invalid run_date value"),
-        ({"backfill_days": "1"}, "must be an integer"),
-        ({"backfill_days": 8}, "between 1 and 7"),
-        ({"mode": "date"}, "run_date is required"),
-        ({"mode": "date", "run_date": "2026-03-02"}, "not available"),
+        ({"mode": "all"}, "Unknown mode 'all'"),
+        ({"mode": 1}, "Unknown mode 1"),
+        ({"run_date": "1.3.2026"}, "no calendar day"),
+        ({"run_date": "2026-3-01", "mode": "date"}, "no calendar day"),
+        ({"run_date": "2026-02-30"}, "no calendar day"),
+        ({"backfill_days": "1"}, "loads 1 to 7 days"),
+        ({"backfill_days": True}, "loads 1 to 7 days"),
+        ({"backfill_days": 8}, "loads 1 to 7 days"),
+        ({"mode": "date"}, "no calendar day"),
     ],
 )
-def test_target_days_errors(spark, arguments, message):
+def test_target_days_refuses_requests(spark, arguments, message):
     with pytest.raises(ValueError, match=message):
         archive.target_days(days(spark, "2026-03-01"), **arguments)
 
 
+def test_target_days_fails_where_nothing_fits(spark):
+    with pytest.raises(Exception, match="The day 2026-03-02 is not among the published ones"):
+        archive.target_days(days(spark, "2026-03-01"), mode="date", run_date="2026-03-02").collect()
+    with pytest.raises(Exception, match="No day is not among the published ones"):
+        archive.target_days(days(spark)).collect()
+
+
+def test_days_are_found_in_one_pass(spark):
+    pages = spark.createDataFrame([(1, '<a href="/x/download/2026-03-01_istdaten.csv">')], "page_id long, html string")
+    for frame in (archive.archive_latest_n(pages, "https://h/x", 2), archive.target_days(archive.available_days(pages))):
+        assert frame.count() == 1
+        assert frame._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 1
+
+
 def test_nothing_published(spark):
     pages = spark.createDataFrame([(1, "<a href='x'>")], "page_id long, html string")
-    with pytest.raises(ValueError, match="Could not find"):
-        archive.archive_latest_n(pages, "https://h.example.org/p", 3)
-    with pytest.raises(ValueError, match="No downloadable dates"):
-        archive.target_days(archive.available_days(pages))
+    with pytest.raises(Exception, match="announce no daily file"):
+        archive.archive_latest_n(pages, "https://h.example.org/p", 3).collect()
+    with pytest.raises(Exception, match="not among the published"):
+        archive.target_days(archive.available_days(pages)).collect()
 
 
 def test_last_link_of_a_day_wins(spark):
@@ -147,3 +163,42 @@ def test_csv_rows_with_too_few_and_too_many_fields(spark, tmp_path):
     path = write(tmp_path, "f.csv", HEADER, "a;b", "1;2;3;4;5;6")
     rows = [tuple(row) for row in stop_files.scan_csv(spark, path).collect()]
     assert rows == [("a", "b", None, None, None, None), ("1", "2", "3", "4", "5", "6")]
+
+
+def test_rows_with_more_fields_fail_and_shorter_ones_end_in_nulls(spark, tmp_path):
+    short = write(tmp_path, "short.csv", HEADER, "1;2;3")
+    assert tuple(stop_files.scan_csv(spark, short).first()) == ("1", "2", "3", None, None, None)
+    longer = write(tmp_path, "long.csv", HEADER, "1;2;3;4;5;6;7")
+    for read in (stop_files.scan_csv, stop_files.read_stop_events):
+        with pytest.raises(Exception, match="more fields than its header"):
+            read(spark, longer).collect()
+        with pytest.raises(Exception, match="more fields than its header"):
+            read(spark, longer).count()
+    quoted = write(tmp_path, "quoted.csv", HEADER, '1;"a;b";3')
+    assert stop_files.scan_csv(spark, quoted).first()[1] == "a;b"
+
+
+def test_line_breaks_in_quotes_through_all_readers(spark, tmp_path):
+    path = write(tmp_path, "2026-03-01_istdaten.csv", HEADER, '1;"two\nlines";3;4;5;6')
+    frames = [
+        stop_files.scan_csv(spark, path, multiline=True),
+        stop_files.read_stop_events(spark, path, multiline=True),
+        stop_files.scan_latest(spark, str(tmp_path), multiline=True),
+        lake.csv_to_parquet(spark, path, str(tmp_path / "out"), multiline=True),
+    ]
+    for frame in frames:
+        assert [row[1] for row in frame.collect()] == ["two\nlines"]
+
+
+def test_leftover_names_are_no_daily_files(spark, tmp_path):
+    folder = tmp_path / "a[1]{b}"
+    folder.mkdir()
+    for name in ("2026-03-01_istdaten.csv", "2026-03-02_istdaten.csv.part", "2026-03-03_istdaten.csvx"):
+        write(folder, name, HEADER, "1;2;3;4;5;6")
+    found = stop_files.daily_files(spark, str(tmp_path))
+    assert [day for day, _ in found] == ["2026-03-01"]
+    assert stop_files.scan_latest(spark, str(tmp_path)).count() == 1
+    for day in range(1, 41):
+        write(tmp_path, f"2025-01-01_{day}".replace("_", "-") + "_x.csv", HEADER)
+        write(tmp_path, f"19{day + 10}-01-01_istdaten.csv", HEADER)
+    assert len(stop_files.daily_files(spark, str(tmp_path))) == 41

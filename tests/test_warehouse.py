@@ -148,3 +148,41 @@ def test_build_warehouse(spark, skewed):
     chosen = slice_dates_types(tables["fct_daily_delays"], dt.date(2026, 3, 1), dt.date(2026, 3, 1), ["S"])
     plan = chosen._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(operating_day" in plan and "In(transport_type" in plan.replace("EqualTo", "In")
+
+
+def test_stops_without_a_whole_key_stay(raw):
+    events = raw(*[stop(None, "?", arrival=f"01.03.2026 1{i}:00") for i in range(5)], stop("t"), stop("t"))
+    flagged = warehouse.stops_flagged(events)
+    assert flagged.count() == 6
+    failures = {r.column: r.failures for r in quality.test_not_null(warehouse.without_cancelled(flagged)).collect()}
+    assert failures["trip_id"] == failures["station_code"] == 5
+
+
+def test_every_fact_finds_its_dimension_rows(raw):
+    events = raw(stop("a"), stop("b", "8500009", FAELLT_AUS_TF="true", HALTESTELLEN_NAME="Closed", VERKEHRSMITTEL_TEXT="IC"))
+    flagged = warehouse.stops_flagged(events)
+    joined = warehouse.star_join(
+        warehouse.fct_station_delays(flagged),
+        (warehouse.dim_stations(flagged), "station_code"),
+        (warehouse.dim_transport_types(flagged), "transport_type"),
+    )
+    found = {(r.station_code, r.station_name, r.description) for r in joined.collect()}
+    assert found == {(8500001, "Station 8500001", "Suburban train"), (8500009, "Closed", "InterCity")}
+
+
+def test_refreshing_days_equals_a_full_build_and_keeps_other_files(spark, raw, tmp_path):
+    root, full = str(tmp_path / "daily"), str(tmp_path / "full")
+    first = [stop("a"), stop("b", BETRIEBSTAG="2026-03-02"), stop("c", BETRIEBSTAG="2026-03-02")]
+    build.build_warehouse(raw(*first), root)
+
+    def files(day):
+        return sorted(p.name for p in (tmp_path / "daily/fct_daily_delays" / f"operating_day={day}").glob("*.parquet"))
+
+    kept = files("2026-03-01")
+    changed = [first[0], stop("b", BETRIEBSTAG="2026-03-02"), stop("d", "8500007", BETRIEBSTAG="2026-03-03")]
+    build.build_warehouse(raw(*changed), root, days=["2026-03-02", dt.date(2026, 3, 3)])
+    expected = build.build_warehouse(raw(*changed), full)
+    assert files("2026-03-01") == kept
+    for name in ("stops_flagged", "fct_daily_delays", "fct_station_delays", "dim_stations", "dim_transport_types"):
+        now = spark.read.parquet(f"{root}/{name}").select(expected[name].columns)
+        assert sorted(map(str, now.collect())) == sorted(map(str, expected[name].collect())), name
