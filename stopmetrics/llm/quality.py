@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stopmetrics.llm.samples import labelled_sample
+from stopmetrics.llm.samples import labelled_sample, slices
 
 _SIGNS = re.compile(r"[^\w\s]+")
 _SHARES = (0.0, 0.01, 0.02, 0.05, 0.1, 0.2, 0.4, 0.6, 0.8)
@@ -53,7 +53,7 @@ def features(text: str | None, dimensions: int, memo: dict[str, int]) -> np.ndar
     if not words:
         return np.zeros(0, dtype=np.int64)
     named = {*words, *_SIGNS.findall(text), *_shape(text, words)}
-    if len(memo) > 300_000:
+    if len(memo) > 200_000:
         memo.clear()
     for word in named:
         if word not in memo:
@@ -117,7 +117,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame, rating: str = "quality", gra
 
     def of_batch(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in texts:
-            yield pa.array([features(text, dimensions, _MEMO).astype("<i4").tobytes() for text in batch.to_pylist()], pa.binary())
+            found = [features(text, dimensions, _MEMO).astype("<i4").tobytes() for part in slices(batch) for text in part]
+            yield pa.array(found, pa.binary())
 
     found = sample.select("label", F.arrow_udf(of_batch, "binary")("text").alias("x")).orderBy("label", "x").toPandas()
     rows = [np.frombuffer(x, dtype="<i4").astype(np.int64) for x in found["x"]]
@@ -132,7 +133,7 @@ def score_quality(docs: DataFrame, model: OrdinalModel, tail_from: int = 1) -> D
     def of_batch(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         weights = model.vector
         for batch in texts:
-            rows = [features(text, dimensions, _MEMO) for text in batch.to_pylist()]
+            rows = (features(text, dimensions, _MEMO) for part in slices(batch) for text in part)
             yield pa.array([float(weights[row].sum() / np.sqrt(max(1, len(row)))) for row in rows], pa.float64())
 
     marked = docs.withColumn("latent", F.arrow_udf(of_batch, "double")(F.col("text").cast("string")))

@@ -2,10 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def slices(batch: pa.Array, rows: int = 500) -> Iterator[list]:
+    """Python values of an Arrow batch, a few rows at a time: texts need not all be in memory twice."""
+    for at in range(0, len(batch), rows):
+        yield batch.slice(at, rows).to_pylist()
+
+
 def is_held_out(doc_id: str = "doc_id") -> Column:
     """Whether a document serves to test only: crc32 of its id as text, divisible by 5."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 5 == 0, F.lit(False))

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stopmetrics.llm.graph import connected_components
+from stopmetrics.llm.samples import slices
 from stopmetrics.scratch import written
 
 BITS = 64
@@ -47,7 +48,7 @@ def fingerprints(docs: DataFrame, words_per_shingle: int = 3) -> DataFrame:
 
     def of_batch(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in texts:
-            found = [text_fingerprint(text, words_per_shingle) for text in batch.to_pylist()]
+            found = [text_fingerprint(text, words_per_shingle) for part in slices(batch) for text in part]
             yield pa.array(np.array(found, dtype=np.uint64).view(np.int64))
 
     return docs.withColumn("simhash", F.arrow_udf(of_batch, "long")("text"))

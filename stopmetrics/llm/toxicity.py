@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stopmetrics.llm.samples import class_sizes, labelled_sample
+from stopmetrics.llm.samples import class_sizes, labelled_sample, slices
 
 # Terms the lexicon starts from.
 SEED_TERMS = (
@@ -96,7 +96,7 @@ class LexiconAutomaton:
         """(term, edits) of the nearest term, or None; words met before are answered from memory."""
         if word in self.found:
             return self.found[word]
-        if len(self.found) > 300_000:
+        if len(self.found) > 100_000:
             self.found.clear()
         state = self.start
         for letter in word:
@@ -184,7 +184,7 @@ def with_hits(docs: DataFrame, terms: tuple[str, ...], benign: frozenset[str] =
             _AUTOMATA[terms] = LexiconAutomaton(terms)
         automaton = _AUTOMATA[terms]
         for batch in texts:
-            yield pa.array([find_hits(text, automaton, benign) for text in batch.to_pylist()], _HIT_TYPE)
+            yield pa.array([find_hits(text, automaton, benign) for part in slices(batch) for text in part], _HIT_TYPE)
 
     return docs.withColumn("hits", F.arrow_udf(of_batch, _HIT)("text"))
 
