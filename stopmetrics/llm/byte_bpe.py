@@ -14,32 +14,32 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 _TEXTS = 500
-_WORDS = 20_000  # words per recursive query
+_WORDS = 10_000  # words per recursive query
 _LONG = 400  # bytes; longer words have too many merges for a recursion that keeps every round
 # Pieces that a match of the word pattern never crosses: a word with the blank before it, or white space. Texts with
 # control characters that engines class differently are cut by the word pattern alone.
 _COARSE = re.compile(r" ?\S+|\s+(?!\S)|\s+")
 _ODD = re.compile("[\x1c-\x1f\x85᠎​⁠﻿]")
 
+# A row is a token of a word: its first byte, the byte after it, its id, and the round. Joins find the token that follows.
 _MERGE = """
-WITH RECURSIVE round(w, p, id, n) AS (
-    SELECT w, p, id, 0 FROM bytes_of_words
+WITH RECURSIVE round(w, p, z, id, n) AS (
+    SELECT w, p, p + 1, id, 0 FROM bytes_of_words
     UNION ALL
-    SELECT w, p, CASE WHEN p = best & 65535 THEN CAST(best >> 16 AS INTEGER) ELSE id END, n + 1
-    FROM (
-        SELECT w, p, id, n, best, lag(p) OVER (PARTITION BY w ORDER BY p) AS p_before
-        FROM (
-            SELECT w, p, id, n, min((CAST(merged AS BIGINT) << 16) | p) OVER (PARTITION BY w) AS best
-            FROM (SELECT w, p, id, n, lead(id) OVER (PARTITION BY w ORDER BY p) AS id_after FROM round)
-            LEFT JOIN merges ON merges.a = id AND merges.b = id_after
+    (
+        WITH best AS (
+            SELECT l.w, min((CAST(merged AS BIGINT) << 16) | l.p) AS best
+            FROM round l JOIN round r ON r.w = l.w AND r.p = l.z JOIN merges ON merges.a = l.id AND merges.b = r.id
+            GROUP BY l.w
+        ), contracted AS (
+            SELECT w, best & 65535 AS place, vocabulary.id AS merged, size
+            FROM best JOIN vocabulary ON vocabulary.id = CAST(best >> 16 AS INTEGER)
         )
-        WHERE best IS NOT NULL
+        SELECT w, p, CASE WHEN p = place THEN p + size ELSE z END, CASE WHEN p = place THEN merged ELSE id END, n + 1
+        FROM round JOIN contracted USING (w) WHERE NOT (p > place AND p < place + size)
     )
-    WHERE p_before IS DISTINCT FROM best & 65535
-)
-SELECT w, list(id ORDER BY p) AS ids
-FROM (SELECT w, p, id, n, max(n) OVER (PARTITION BY w) AS last FROM round) WHERE n = last
-GROUP BY w ORDER BY w
+), last AS (SELECT w, max(n) AS n FROM round GROUP BY w)
+SELECT w, list(id ORDER BY p) AS ids FROM round JOIN last USING (w, n) GROUP BY w ORDER BY w
 """
 
 _DECODE = """
@@ -58,8 +58,8 @@ class ByteBpe:
     """Encoder and decoder of one vocabulary, with a DuckDB connection of its own.
 
     Encoding joins the tokens of every word with a table of all pairs that form a token, and contracts the leftmost
-    pair of least rank per word and round, until no pair is left. Words met before are answered from memory, which is
-    dropped when it holds `memo_limit` of them.
+    pair of least rank per word and round, until no pair is left. Pieces of text met before are answered from memory, of which
+    the later half goes when it holds `memo_limit` of them.
     """
 
     _loaded: dict[tuple[str, str], ByteBpe] = {}
@@ -73,7 +73,7 @@ class ByteBpe:
         self.words = regex.compile(pattern)
         self.memo: dict[str, bytes] = {}
         self.memo_limit = memo_limit
-        self.duck = duckdb.connect(config={"threads": 1, "memory_limit": "400MB"})
+        self.duck = duckdb.connect(config={"threads": 1, "memory_limit": "300MB"})
         pairs = [
             (self.ranks[token[:cut]], self.ranks[token[cut:]], rank)
             for token, rank in self.ranks.items()
@@ -82,9 +82,10 @@ class ByteBpe:
         ]
         a, b, merged = (pa.array(column, pa.int32()) for column in zip(*pairs)) if pairs else [pa.array([], pa.int32())] * 3
         self._create("merges", pa.table({"a": a, "b": b, "merged": merged}))
-        names = [(rank, token.hex()) for token, rank in self.ranks.items()]
-        ids, hexes = zip(*names)
-        self._create("vocabulary", pa.table({"id": pa.array(ids, pa.int32()), "token": pa.array(hexes)}))
+        names = [(rank, token.hex(), len(token)) for token, rank in self.ranks.items()]
+        ids, hexes, sizes = zip(*names)
+        rows = {"id": pa.array(ids, pa.int32()), "token": pa.array(hexes), "size": pa.array(sizes, pa.int32())}
+        self._create("vocabulary", pa.table(rows))
 
     def _create(self, name: str, rows: pa.Table) -> None:
         self.duck.register("given", rows)
@@ -167,8 +168,9 @@ class ByteBpe:
 
     def _group(self, texts: list[str | None]) -> list[bytes]:
         memo = self.memo
-        if len(memo) > self.memo_limit:
-            memo.clear()
+        if len(memo) > self.memo_limit:  # what came first is frequent and stays
+            for piece in list(memo)[self.memo_limit // 2 :]:
+                del memo[piece]
         cut = [[text] if text and _ODD.search(text) else _COARSE.findall(text or "") for text in texts]
         once = self._learn(list({piece for one in cut for piece in one if piece not in memo}))
         memo.update((piece, ids) for piece, ids in once.items() if len(piece) <= 64)
@@ -228,12 +230,26 @@ def decode_documents(docs: DataFrame, ranks_path: str, pattern: str) -> DataFram
     return docs.withColumn("decoded", F.arrow_udf(of_batch, "binary")("ids"))
 
 
-def decimal_digest(ids: str = "ids"):
-    """sha256 of the decimal ids joined by one space, as lowercase hex."""
+_ROUND_TRIP = "ids binary, ids_sha256 string, decoded binary"
 
-    def of_batch(encoded: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in encoded:
-            lists = (np.frombuffer(one or b"", dtype="<u4").tolist() for one in batch.to_pylist())
-            yield pa.array([hashlib.sha256(" ".join(map(str, one)).encode()).hexdigest() for one in lists])
 
-    return F.arrow_udf(of_batch, "string")(ids)
+def round_trip(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
+    """`docs` (text, ...) with `coded`: ids as in `encode_documents`, sha256 of the decimal ids joined by blanks, and the
+    bytes that decoding those ids gives. One Python worker per task does all three; a column `coded` is replaced."""
+    kinds = pa.struct([("ids", pa.binary()), ("ids_sha256", pa.string()), ("decoded", pa.binary())])
+
+    def of_batch(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        bpe = ByteBpe.of_worker(ranks_path, pattern)
+        for batch in texts:
+            columns: tuple[list, list, list] = ([], [], [])
+            for at in range(0, len(batch), _TEXTS):
+                encoded = bpe.encode(batch.slice(at, _TEXTS).to_pylist())
+                lists = [np.frombuffer(ids, dtype="<u4") for ids in encoded]
+                columns[0].extend(encoded)
+                columns[1].extend(hashlib.sha256(" ".join(map(str, one.tolist())).encode()).hexdigest() for one in lists)
+                columns[2].extend(bpe.decode(lists))
+            yield pa.StructArray.from_arrays(
+                [pa.array(column, field.type) for column, field in zip(columns, kinds)], fields=list(kinds)
+            )
+
+    return docs.withColumn("coded", F.arrow_udf(of_batch, _ROUND_TRIP)(F.col("text").cast("string")))

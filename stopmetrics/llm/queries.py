@@ -65,11 +65,11 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = (public_tokenizers.path(BYTE_RANKS), public_tokenizers.PATTERN)
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    ids = byte_bpe.encode_documents(docs, *vocabulary).select("doc_id", "ids")
-    return byte_bpe.decode_documents(ids, *vocabulary).select(
+    coded = byte_bpe.round_trip(docs, *vocabulary).select("doc_id", "coded.*")
+    return coded.select(
         "doc_id",
         F.expr("CAST(length(ids) DIV 4 AS LONG)").alias("n_tokens"),
-        byte_bpe.decimal_digest("ids").alias("ids_sha256"),
+        "ids_sha256",
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
 
