@@ -22,16 +22,19 @@ class WordTokenizer:
 
     It is for tokenizers whose words never reach across white space and whose only other normalization is Unicode
     composition and lower case; any text with an unusual character goes to the library as a whole. Strings of special
-    tokens in a text are ordinary text. The memory of words is dropped when it holds `memo_limit` of them.
+    tokens in a text are ordinary text. Of the memory of words the later half goes when it holds `memo_limit` of them.
     """
 
     _loaded: dict[str, WordTokenizer] = {}
 
-    def __init__(self, path: str, memo_limit: int = 400_000) -> None:
+    def __init__(self, path: str, memo_limit: int = 500_000) -> None:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True
+        vocabulary = self.library.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=bool)
+        self.ends_word[[number for token, number in vocabulary.items() if token.endswith("</w>")]] = True
         self.memo: dict[str, bytes] = {}
         self.memo_limit = memo_limit
 
@@ -46,6 +49,42 @@ class WordTokenizer:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(one.ids, dtype="<u4").tobytes() for one in found]
 
+    def _ids_of_letters(self, words: list[str]) -> list[bytes]:
+        """Ids of words of letters only, many to a text; tokens that end a word tell them apart."""
+        found = []
+        for at in range(0, len(words), 1000):
+            part = words[at : at + 1000]
+            ids = np.array(self.library.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, dtype="<u4")
+            ends = (np.flatnonzero(self.ends_word[ids]) + 1).tolist()
+            if len(ends) != len(part):  # a tokenizer without such tokens
+                found.extend(self._library_ids(part))
+                continue
+            raw = ids.tobytes()
+            found.extend(raw[4 * a : 4 * b] for a, b in zip([0, *ends[:-1]], ends))
+        return found
+
+    def _learn(self, words: set[str]) -> dict[str, bytes]:
+        """Put new words into memory; returns the long ones, which are not kept."""
+        memo, once, alone = self.memo, {}, []
+        ended = []
+        for word in words:
+            core = word.rstrip(".,")
+            # Stops behind a letter or digit are a token run of their own.
+            if core and core is not word and core[-1].isalnum():
+                ended.append((word, core, word[len(core) :]))
+            else:
+                alone.append(word)
+        parts = {part for _, core, stops in ended for part in (core, stops)} - words
+        alone.extend(part for part in parts if part not in memo)
+        letters = [word for word in alone if word.isalpha()]
+        others = [word for word in alone if not word.isalpha()]
+        for word, ids in zip(letters + others, self._ids_of_letters(letters) + self._library_ids(others)):
+            (memo if len(word) <= _LONG else once)[word] = ids
+        for word, core, stops in ended:
+            ids = (memo if core in memo else once)[core] + (memo if stops in memo else once)[stops]
+            (memo if len(word) <= _LONG else once)[word] = ids
+        return once
+
     def _group(self, texts: list[str | None]) -> list[bytes]:
         words: list[list[str] | None] = []
         rare: list[str] = []
@@ -56,12 +95,10 @@ class WordTokenizer:
             else:
                 words.append(text.lower().split() if text else [])
         memo = self.memo
-        if len(memo) > self.memo_limit:
-            memo.clear()
-        new = list({word for one in words if one for word in one if word not in memo})
-        once = {}
-        for word, ids in zip(new, self._library_ids(new)):
-            (memo if len(word) <= _LONG else once)[word] = ids
+        if len(memo) > self.memo_limit:  # what came first is frequent and stays
+            for word in list(memo)[self.memo_limit // 2 :]:
+                del memo[word]
+        once = self._learn({word for one in words if one for word in one if word not in memo})
         whole = iter(self._library_ids(rare))
         join = b"".join
         if once:
