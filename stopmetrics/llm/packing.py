@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stopmetrics.llm.word_tokens import WordTokenizer
+from stopmetrics.llm.worker_memory import release_memory
 from stopmetrics.scratch import written
 
 _PIECES = "length int, rank_in_part long, doc_id long, piece int, start long, ids_crc32 long, ids binary"
@@ -46,6 +47,7 @@ def _cut(docs: DataFrame, tokenizer_path: str, end_id: int, capacity: int) -> Da
                     ],
                     names=[name.split()[0] for name in _PIECES.split(", ")],
                 )
+        release_memory()
 
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     return texts.mapInArrow(of_batches, _PIECES).withColumn("part", F.spark_partition_id())

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from stopmetrics.llm.graph import connected_components
 from stopmetrics.llm.samples import slices
+from stopmetrics.llm.worker_memory import release_memory
 from stopmetrics.scratch import written
 
 BITS = 64
@@ -50,6 +51,7 @@ def fingerprints(docs: DataFrame, words_per_shingle: int = 3) -> DataFrame:
         for batch in texts:
             found = [text_fingerprint(text, words_per_shingle) for part in slices(batch) for text in part]
             yield pa.array(np.array(found, dtype=np.uint64).view(np.int64))
+        release_memory()
 
     return docs.withColumn("simhash", F.arrow_udf(of_batch, "long")("text"))
 

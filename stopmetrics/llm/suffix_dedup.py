@@ -23,6 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stopmetrics.llm.worker_memory import releasing, releasing_both
+
 _GRAM = 24  # bytes of a gram; `width` - _GRAM + 1 grams compete for a string
 _TILE = 2 << 20  # bytes hashed at a time
 _RUN = 32  # starting bytes of a stretch at most: as many as an answer has bits
@@ -452,10 +454,10 @@ def remove_repeats(docs: DataFrame, width: int = 50, whole_characters: bool = Fa
         text.cast("binary").alias("text"),
     )
     by_block = dealt.groupBy("block")
-    named = by_block.applyInArrow(_name_hashes(width, parts), _NAMED)
-    shared = named.groupBy("bucket").applyInArrow(_shared_hashes, "block int, bucket int, tags binary")
-    sent = by_block.cogroup(shared.groupBy("block")).applyInArrow(_send_stretches(width, parts), _SENT)
-    answered = sent.groupBy("bucket").applyInArrow(_answer_stretches(width), _ANSWERED)
+    named = by_block.applyInArrow(releasing(_name_hashes(width, parts)), _NAMED)
+    shared = named.groupBy("bucket").applyInArrow(releasing(_shared_hashes), "block int, bucket int, tags binary")
+    sent = by_block.cogroup(shared.groupBy("block")).applyInArrow(releasing_both(_send_stretches(width, parts)), _SENT)
+    answered = sent.groupBy("bucket").applyInArrow(releasing(_answer_stretches(width)), _ANSWERED)
     schema = T.StructType(
         [
             T.StructField("row", dealt.schema["row"].dataType),
@@ -465,7 +467,8 @@ def remove_repeats(docs: DataFrame, width: int = 50, whole_characters: bool = Fa
             T.StructField("spans", T.ArrayType(T.StructType.fromDDL("start long, end long"))),
         ]
     )
-    cleaned = by_block.cogroup(answered.groupBy("block")).applyInArrow(_remove(width, whole_characters), schema)
+    remove = releasing_both(_remove(width, whole_characters))
+    cleaned = by_block.cogroup(answered.groupBy("block")).applyInArrow(remove, schema)
     return cleaned.select("row.*", *_RESULTS)
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stopmetrics.llm.word_tokens import WordTokenizer
+from stopmetrics.llm.worker_memory import release_memory
 
 FILE_SCHEMA = "part int, row long, doc_id long, n_tokens int, ids array<int>"
 
@@ -42,6 +43,7 @@ def encoded(docs: DataFrame, tokenizer_path: str, end_id: int | None) -> DataFra
                 part = batch.slice(at, 1000)
                 ids = _lists(tokenizer.encode(part.column(1).to_pylist()), end_id)
                 yield pa.RecordBatch.from_arrays([part.column(0), ids], names=["doc_id", "ids"])
+        release_memory()
 
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     return texts.mapInArrow(of_batches, "doc_id long, ids array<int>")

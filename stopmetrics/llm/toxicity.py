@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stopmetrics.llm.samples import class_sizes, labelled_sample, slices
+from stopmetrics.llm.worker_memory import release_memory
 
 # Terms the lexicon starts from.
 SEED_TERMS = (
@@ -185,6 +186,8 @@ def with_hits(docs: DataFrame, terms: tuple[str, ...], benign: frozenset[str] =
         automaton = _AUTOMATA[terms]
         for batch in texts:
             yield pa.array([find_hits(text, automaton, benign) for part in slices(batch) for text in part], _HIT_TYPE)
+        automaton.found.clear()
+        release_memory()
 
     return docs.withColumn("hits", F.arrow_udf(of_batch, _HIT)("text"))
 

@@ -27,7 +27,7 @@ class WordTokenizer:
 
     _loaded: dict[str, WordTokenizer] = {}
 
-    def __init__(self, path: str, memo_limit: int = 500_000) -> None:
+    def __init__(self, path: str, memo_limit: int = 250_000) -> None:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
