@@ -18,6 +18,7 @@ from stopmetrics.llm import (
     suffix_dedup,
     token_files,
     toxicity,
+    vector_codes,
     voronoi,
 )
 from stopmetrics.llm.samples import is_held_out
@@ -103,6 +104,11 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.drop("ids")
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = vector_codes.encode(_table(spark, sf_dir, "embeddings"), parts=16, entries=64, rounds=2, scale=256)
+    return coded.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = (
         op1_token_files,
@@ -115,6 +121,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_top_k,
         op9_simhash_near_dedup,
         op10_best_fit_packing,
+        op11_vector_codes,
     )
     return {query.__name__: query for query in named}
 
@@ -160,5 +167,54 @@ FROM scored QUALIFY rank <= 20
 """
 
 
+
+def _nearest_entries(parts: str, book: str) -> str:
+    """Each part with its nearest entry and their squared distance."""
+    return f"""
+    SELECT vec_id, p, any_value(part) AS part, min(far * 256 + e) % 256 AS e, min(far * 256 + e) // 256 AS far FROM (
+        SELECT vec_id, p, part, e, CAST(list_sum(list_transform(list_zip(part, entry), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT) AS far
+        FROM {parts} JOIN {book} USING (p)
+    ) GROUP BY vec_id, p"""
+
+
+def _mean_entries(members: str, book: str) -> str:
+    """Every entry as the componentwise floor of its members' mean; without members it stays."""
+    return f"""
+    SELECT p, e, coalesce(mean, entry) AS entry FROM {book} LEFT JOIN (
+        SELECT p, e, list(mean ORDER BY i) AS mean FROM (
+            SELECT p, e, i, CAST(floor(sum(x) / count(*)) AS BIGINT) AS mean
+            FROM (SELECT p, e, unnest(part) AS x, unnest(range(len(part))) AS i FROM {members}) GROUP BY p, e, i
+        ) GROUP BY p, e
+    ) USING (p, e)"""
+
+
+_OP11 = f"""
+WITH kept AS (
+    SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), parts AS (
+    SELECT vec_id, label, p, v[p * len(v) // 16 + 1 : (p + 1) * len(v) // 16] AS part FROM kept, range(16) AS t(p)
+), seeds AS (
+    SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM kept ORDER BY vec_id LIMIT 64
+), book0 AS (
+    SELECT p, e, part AS entry FROM parts JOIN seeds USING (vec_id)
+), members0 AS ({_nearest_entries("parts", "book0")}
+), book1 AS ({_mean_entries("members0", "book0")}
+), members1 AS ({_nearest_entries("parts", "book1")}
+), book2 AS ({_mean_entries("members1", "book1")}
+), final AS ({_nearest_entries("parts", "book2")}
+), coded AS (
+    SELECT vec_id, string_agg(printf('%02x', e), '' ORDER BY p) AS code, CAST(sum(far) AS BIGINT) AS error
+    FROM final GROUP BY vec_id
+), digest AS (
+    SELECT sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY p, e, i)) AS codebooks_sha256
+    FROM (SELECT p, e, unnest(entry) AS x, unnest(range(len(entry))) AS i FROM book2)
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM coded JOIN kept USING (vec_id), digest
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_line_dedup": _OP2, "op8_top_k": _OP8}
+    return {"op2_line_dedup": _OP2, "op8_top_k": _OP8, "op11_vector_codes": _OP11}
