@@ -16,6 +16,7 @@ from stopmetrics.llm import (
     quality,
     simhash,
     suffix_dedup,
+    token_alignment,
     token_files,
     toxicity,
     vector_codes,
@@ -26,6 +27,8 @@ from stopmetrics.scratch import new_folder
 
 WORD_TOKENIZER = "word_bpe_49k.json"
 BYTE_RANKS = "byte_bpe_50k.tiktoken"
+BYTE_BPE = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -109,6 +112,12 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align_corpus(
+        _table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), public_tokenizers.path(PIECES)
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = (
         op1_token_files,
@@ -122,6 +131,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op9_simhash_near_dedup,
         op10_best_fit_packing,
         op11_vector_codes,
+        op12_token_alignment,
     )
     return {query.__name__: query for query in named}
 
