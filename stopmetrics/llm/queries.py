@@ -12,6 +12,7 @@ from stopmetrics.llm import (
     byte_bpe,
     line_dedup,
     merkle,
+    minhash,
     packing,
     quality,
     simhash,
@@ -118,6 +119,10 @@ def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents"), words_per_shingle=2, percent=80)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = (
         op1_token_files,
@@ -132,6 +137,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op10_best_fit_packing,
         op11_vector_codes,
         op12_token_alignment,
+        op13_minhash_near_dedup,
     )
     return {query.__name__: query for query in named}
 
