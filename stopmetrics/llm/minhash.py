@@ -2,24 +2,25 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import uuid
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stopmetrics.llm.graph import connected_components
 from stopmetrics.llm.hot_keys import join_counted
 from stopmetrics.llm.samples import slices
 from stopmetrics.llm.worker_memory import release_memory, releasing
-from stopmetrics.scratch import written
+from stopmetrics.scratch import new_folder, written
 
 SEED = 13
-_SHINGLES = 2048  # shingles hashed by all functions at a time
-_BLOCK = 1 << 21  # shingles of one block of a bucket's members
-_REP_PAIRS = 2000  # pairs with one representative that meet in one group
+_SHINGLES, _FUNCTIONS = 2048, 64  # hashed at a time
+_PIVOTS = (1, 2)  # members of each open bucket compared with all others, by round
+_BLOCK = 1 << 20  # shingles that meet in one group
 
 
 def shingle_set(text: str | None, words_per_shingle: int = 2) -> np.ndarray:
@@ -47,220 +48,285 @@ class Minhashes:
     def __init__(self, bands: int, rows: int) -> None:
         self.bands, self.rows = bands, rows
         number = 2 * bands * rows
-        draws = np.array([xxhash.xxh64_intdigest(b"%d" % i, SEED) for i in range(2 * number)], dtype=np.uint64)
-        self.factor, self.shift = draws[:number] | np.uint64(1), draws[number:]
-
-    def keys(self, hashes: np.ndarray) -> np.ndarray:
-        """The keys of all bands, the first collection before the second, as signed 64-bit integers."""
-        least = np.full(len(self.factor), np.iinfo(np.uint64).max, dtype=np.uint64)
-        for at in range(0, len(hashes), _SHINGLES):
-            part = hashes[at : at + _SHINGLES]
-            for i in range(0, len(self.factor), 64):
-                values = part[None, :] * self.factor[i : i + 64, None]
-                values += self.shift[i : i + 64, None]
-                values ^= values >> np.uint64(32)
-                values *= np.uint64(0xD6E8FEB86659FD93)
-                np.minimum(least[i : i + 64], values.min(axis=1), out=least[i : i + 64])
+        draws = np.array([xxhash.xxh32_intdigest(b"%d" % i, SEED) for i in range(2 * number)], dtype=np.uint32)
+        self.factor, self.shift = draws[:number, None] | np.uint32(1), draws[number:, None]
+
+    def sketch(self, hashes: np.ndarray) -> tuple[np.ndarray, bytes]:
+        """The keys of all bands, the first collection before the second, as signed 64-bit integers, and a byte of each minhash."""
+        short = (hashes >> np.uint64(32)).astype(np.uint32)
+        least = np.full(len(self.factor), np.iinfo(np.uint32).max, dtype=np.uint32)
+        for at in range(0, len(short), _SHINGLES):
+            part = short[at : at + _SHINGLES]
+            for i in range(0, len(self.factor), _FUNCTIONS):
+                values = part ^ self.shift[i : i + _FUNCTIONS]
+                values *= self.factor[i : i + _FUNCTIONS]
+                values ^= values >> np.uint32(15)
+                values *= np.uint32(0x2C1B3C6D)
+                np.minimum(least[i : i + _FUNCTIONS], values.min(axis=1), out=least[i : i + _FUNCTIONS])
+        least = least.astype(np.uint64)
         key = np.zeros(2 * self.bands, dtype=np.uint64)
         for value in least.reshape(2 * self.bands, self.rows).T:
             key = (key ^ value) * np.uint64(0x9E3779B97F4A7C15)
             key ^= key >> np.uint64(29)
-        return key.view(np.int64)
+        return key.view(np.int64), (least & np.uint64(255)).astype(np.uint8).tobytes()
 
 
-_SETS = "digest binary, n int, shingles array<long>"
+_ROW = "doc_id long, text string, digest binary, n long, keys array<long>, sketch binary"
 
 
-def shingle_sets(docs: DataFrame, words_per_shingle: int) -> DataFrame:
-    """(row, doc_id, digest, n, shingles) per row of `docs`, written once; equal sets have equal 128-bit digests."""
+def shingled(docs: DataFrame, words_per_shingle: int, bands: int, rows: int) -> tuple[DataFrame, str]:
+    """(row, doc_id, text, digest, n, keys, sketch) per row of `docs`, stored once as a table bucketed by row; and its name.
+
+    `n` counts the shingles, equal sets have equal 128-bit digests, `keys` are the bands of both collections, `sketch` has a
+    byte of each minhash. Joins on row
+    read the texts where they are: what meets them is shuffled to them. The caller drops the table; its files stay in
+    the shared folder.
+    """
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        functions = Minhashes(bands, rows)
         for batch in batches:
             at = 0
             for part in slices(batch.column(1)):
-                sets = [shingle_set(text, words_per_shingle) for text in part]
-                sizes = np.array([len(one) for one in sets], dtype=np.int32)
-                offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
-                values = np.concatenate(sets).view(np.int64)
+                sizes, digests, keys, sketches = [], [], [], []
+                for text in part:
+                    own = shingle_set(text, words_per_shingle)
+                    sizes.append(len(own))
+                    digests.append(xxhash.xxh3_128_digest(own.tobytes(), SEED))
+                    own_keys, sketch = functions.sketch(own)
+                    keys.append(own_keys)
+                    sketches.append(sketch)
+                ends = np.arange(len(part) + 1, dtype=np.int32) * (2 * bands)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0).slice(at, len(part)),
-                        pa.array([xxhash.xxh3_128_digest(one.tobytes(), SEED) for one in sets], pa.binary()),
-                        pa.array(sizes),
-                        pa.ListArray.from_arrays(pa.array(offsets), pa.array(values)),
+                        *(column.slice(at, len(part)) for column in batch.columns),
+                        pa.array(digests, pa.binary()),
+                        pa.array(sizes, pa.int64()),
+                        pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(keys))),
+                        pa.array(sketches, pa.binary()),
                     ],
-                    names=["doc_id", "digest", "n", "shingles"],
+                    names=[field.split()[0] for field in _ROW.split(", ")],
                 )
                 at += len(part)
         release_memory()
 
+    spark = docs.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    found = texts.mapInArrow(of_batches, f"doc_id long, {_SETS}")
-    return written(found.withColumn("row", F.monotonically_increasing_id()), "shingles")
-
+    spread = texts.mapInArrow(of_batches, _ROW).withColumn("row", F.monotonically_increasing_id()).repartition(buckets, "row")
+    name = f"shingled_{uuid.uuid4().hex}"
+    stored = spread.write.bucketBy(buckets, "row").option("compression", "zstd")
+    stored.option("path", new_folder(spark, "shingled")).saveAsTable(name)
+    return spark.table(name), name
+
+
+class _Members:
+    """The members of a group: their sizes and sketches at once, their shingle sets when asked for."""
+
+    def __init__(self, table: pa.Table, percent: int, width: int) -> None:
+        self.texts, self.percent, self.width = table.column("text"), percent, width
+        self.sizes = table.column("n").to_numpy()
+        self.sketches = np.array([np.frombuffer(one, np.uint8) for one in table.column("sketch").to_pylist()])
+        functions = self.sketches.shape[1]
+        share = percent / 100
+        # Equal minhashes of two sets at the threshold are a binomial number: this is eight deviations below its mean.
+        self.least = functions * share - 8 * (functions * share * (1 - share)) ** 0.5
+        self.sets: dict[int, np.ndarray] = {}
+
+    def shingles(self, i: int) -> np.ndarray:
+        if i not in self.sets:
+            self.sets[i] = shingle_set(self.texts[i].as_py(), self.width)
+        return self.sets[i]
+
+    def near(self, i: int, others: np.ndarray) -> list[int]:
+        """Those of `others` whose full sets are similar to that of `i`."""
+        n = self.sizes[i]
+        fits = 100 * np.minimum(self.sizes[others], n) >= self.percent * np.maximum(self.sizes[others], n)
+        others = others[fits]
+        others = others[(self.sketches[others] == self.sketches[i]).sum(axis=1) >= self.least]
+        found = []
+        for j in others.tolist():
+            shared = len(np.intersect1d(self.shingles(i), self.shingles(j), assume_unique=True))
+            if 100 * shared >= self.percent * (n + self.sizes[j] - shared):
+                found.append(j)
+        return found
+
+
+Solve = Callable[[_Members, np.ndarray, np.ndarray], list[tuple[int, int]]]
+
+
+def _in_groups(members: DataFrame, texts: DataFrame, keys: list[str], solve: Solve, percent: int, width: int) -> DataFrame:
+    """Links (a, b) that `solve` finds in each group of `members` (keys..., node, component, side)."""
 
-def band_keys(sets: DataFrame, bands: int, rows: int) -> DataFrame:
-    """(node, keys array<long>) for `sets` (node, shingles)."""
-
-    def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        functions = Minhashes(bands, rows)
-        for batch in batches:
-            lists = batch.column(1)
-            offsets, values = lists.offsets.to_numpy(), lists.values.to_numpy().view(np.uint64)
-            keys = [functions.keys(values[a:b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
-            flat = np.concatenate([np.zeros(0, dtype=np.int64), *keys])
-            ends = np.arange(batch.num_rows + 1, dtype=np.int32) * (2 * bands)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], names=["node", "keys"]
-            )
-        release_memory()
+    def of_group(table: pa.Table) -> pa.Table:
+        found = []
+        if table.num_rows > 1:
+            found = solve(_Members(table, percent, width), table.column("component").to_numpy(), table.column("side").to_numpy())
+        ends = table.column("node").to_numpy()[np.array(found, dtype=np.int64).reshape(-1, 2)]
+        return pa.table({"a": pa.array(ends[:, 0]), "b": pa.array(ends[:, 1])})
 
-    return sets.select("node", "shingles").mapInArrow(of_batches, "node long, keys array<long>")
+    loaded = members.join(texts, "node")
+    return loaded.groupBy(*keys).applyInArrow(releasing(of_group), "a long, b long")
 
 
-def is_near(shared: Column, n: Column, other: Column, percent: int) -> Column:
-    """Whether 100 * intersection >= percent * union."""
-    return shared * 100 >= (n + other - shared) * percent
+def _star(members: _Members, component: np.ndarray, side: np.ndarray) -> list[tuple[int, int]]:
+    """Links (indices) of the one member of side 0 with the others."""
+    center = int(np.argmin(side))
+    return [(center, i) for i in members.near(center, np.flatnonzero(side > 0))]
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The links (a, b) among distinct `pairs` (a, b; stored), by the intersection of their full sets.
+def _stars(members: DataFrame, texts: DataFrame, percent: int, width: int) -> DataFrame:
+    """The links of `members` (center, node, n; distinct, stored) with their centers.
 
-    `a` may be the representative of many: its pairs are dealt to groups of bounded size, each of which gets its set.
+    A center may be that of many: its members are dealt to groups of bounded size, and it goes to each of them.
     """
-    counts = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("pairs"))
-    parts = written(counts.withColumn("parts", F.ceil(F.col("pairs") / _REP_PAIRS).cast("int")), "representatives")
-    dealt = join_counted(pairs, parts, ["a"], "pairs").withColumn("part", F.pmod(F.xxhash64("b"), F.col("parts")))
-    own = sets.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("shingles").alias("of_a"))
-    spread = own.join(parts, "a").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    other = sets.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("shingles").alias("of_b"))
-    met = dealt.select("a", "b", F.col("part").cast("int").alias("part")).join(other, "b").join(
-        spread.select("a", "part", "n_a", "of_a"), ["a", "part"]
+    counts = members.groupBy("center").agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("shingles"))
+    parts = written(counts.withColumn("parts", F.ceil(F.col("shingles") / _BLOCK).cast("int")), "centers")
+    dealt = join_counted(members, parts, ["center"], "rows").select(
+        "center", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part"), "node", F.lit(1).alias("side")
     )
-    least, most = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
-    shared = F.size(F.array_intersect("of_a", "of_b"))
-    return met.where(least * 100 >= most * percent).where(is_near(shared, F.col("n_a"), F.col("n_b"), percent)).select("a", "b")
+    own = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
+    centers = parts.select("center", own, F.col("center").alias("node"), F.lit(0).alias("side"))
+    both = dealt.unionByName(centers).withColumn("component", F.lit(0).cast("long"))
+    return _in_groups(both, texts, ["center", "part"], _star, percent, width)
 
 
 def _shared(keyed: DataFrame) -> DataFrame:
-    """Rows (key, node, component) whose key also stands in another component, with `least`, the key's least node."""
-    stored = written(keyed, "keys")
-    seen = stored.groupBy("key").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min("node").alias("least"),
+    """Rows (key, node, n, component, ...) whose key also stands in another component, with `least`, the key's least (node, n).
+
+    `keyed` is made twice: from stored rows, it costs less to make than to store.
+    """
+    seen = keyed.groupBy("key").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.min(F.struct("node", "n")).alias("least"),
         F.min("component").alias("low"),
         F.max("component").alias("high"),
     )
-    several = written(seen.where("low < high").select("key", "n", "least"), "shared-keys")
-    return join_counted(stored, several, ["key"], "n")
+    several = written(seen.where("low < high").select("key", "rows", "least"), "shared-keys")
+    return join_counted(keyed, several, ["key"], "rows")
+
+
+def _pivoted(members: DataFrame, number: int) -> DataFrame:
+    """`members` (key, node, n, component; stored) with `pivots`, the first `number` of their key.
+
+    Members of small components come first. The window's limit keeps the first of each key within each task.
+    """
+    parts = members.groupBy("key", "component").agg(F.count(F.lit(1)).alias("rows"))
+    sized = join_counted(members, written(parts, "parts"), ["key", "component"], "rows")
+    order = Window.partitionBy("key").orderBy("rows", "component", "node")
+    chosen = sized.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= number)
+    pivots = chosen.groupBy("key").agg(F.collect_list(F.struct("node", "n", "component")).alias("pivots"))
+    counted = parts.groupBy("key").agg(F.sum("rows").alias("rows")).join(pivots, "key")
+    return join_counted(members, written(counted, "pivots"), ["key"], "rows").drop("rows")
 
 
-def _forest(sets: list[np.ndarray], component: np.ndarray, side: np.ndarray, percent: int) -> list[tuple[int, int]]:
+def _forest(members: _Members, component: np.ndarray, side: np.ndarray) -> list[tuple[int, int]]:
     """Links (indices) that join what verified links join, among members of different components.
 
     Members already joined are not compared, nor two of one side when there are two sides: others compare those.
     """
-    sizes = np.array([len(one) for one in sets])
-    values = np.concatenate(sets)
-    owner = np.repeat(np.arange(len(sets)), sizes)
     root = np.unique(component, return_inverse=True)[1]
-    links = []
     two_sides = len(np.unique(side)) > 1
-    for i in np.argsort(sizes, kind="stable").tolist():
-        open_ = (root != root[i]) & (100 * np.minimum(sizes, sizes[i]) >= percent * np.maximum(sizes, sizes[i]))
-        if two_sides:
-            open_ &= side != side[i]
-        if not open_.any():
-            continue
-        wanted = np.flatnonzero(open_[owner])
-        held = np.isin(values[wanted], sets[i], assume_unique=False)
-        shared = np.bincount(owner[wanted[held]], minlength=len(sets))
-        near = open_ & (100 * shared >= percent * (sizes + sizes[i] - shared))
-        for j in np.flatnonzero(near).tolist():
+    links = []
+    for i in range(len(root)):
+        others = np.flatnonzero((root != root[i]) & (side != side[i])) if two_sides else np.flatnonzero(root != root[i])
+        for j in members.near(i, others):
             if root[j] != root[i]:
                 links.append((i, j))
                 root[root == root[j]] = root[i]
     return links
 
 
-def _links_of_open_buckets(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) between the components of each bucket of `members` (bucket, node, component, n; stored).
+def _forests(members: DataFrame, texts: DataFrame, percent: int, width: int) -> DataFrame:
+    """Links between the components of each bucket of `members` (bucket, node, n, component; stored).
 
-    A bucket whose sets are too large for one task is cut into blocks by a hash of the node, and every two blocks meet in
+    A bucket whose sets are too many for one task is cut into blocks by a hash of the node, and every two blocks meet in
     a task, so all its members are compared wherever they are.
     """
     sized = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("shingles"))
-    sized = written(sized.withColumn("blocks", F.ceil(F.col("shingles") / _BLOCK).cast("int")).drop("shingles"), "buckets")
+    sized = written(sized.withColumn("blocks", F.ceil(F.col("shingles") / _BLOCK).cast("int")), "buckets")
     dealt = join_counted(members, sized, ["bucket"], "rows").withColumn(
-        "block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+        "side", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     )
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    met = dealt.withColumn("other", other).select(
+    met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "bucket",
-        F.least("block", "other").alias("low"),
-        F.greatest("block", "other").alias("high"),
-        F.col("block").alias("side"),
+        F.least("side", "other").alias("low"),
+        F.greatest("side", "other").alias("high"),
+        "side",
         "node",
         "component",
     )
-
-    def of_group(table: pa.Table) -> pa.Table:
-        column = table.column("shingles").combine_chunks()
-        offsets, values = column.offsets.to_numpy(), column.values.to_numpy()
-        sets = [values[a:b] for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
-        node = table.column("node").to_numpy()
-        found = _forest(sets, table.column("component").to_numpy(), table.column("side").to_numpy(), percent)
-        ends = node[np.array(found, dtype=np.int64).reshape(-1, 2)]
-        return pa.table({"a": pa.array(ends[:, 0]), "b": pa.array(ends[:, 1])})
-
-    loaded = met.join(sets.select("node", "shingles"), "node")
-    return loaded.groupBy("bucket", "low", "high").applyInArrow(releasing(of_group), "a long, b long")
+    return _in_groups(met, texts, ["bucket", "low", "high"], _forest, percent, width)
 
 
 def _relabelled(nodes: DataFrame, links: DataFrame) -> DataFrame:
-    """(node, component) of all `nodes` (node, component) after `links` between nodes of different components."""
+    """(node, component; stored) of all `nodes` (node, component) after `links` (stored) between nodes of different components."""
+    if links.isEmpty():
+        return nodes
     low = nodes.select(F.col("node").alias("a"), F.col("component").alias("of_a"))
     high = nodes.select(F.col("node").alias("b"), F.col("component").alias("of_b"))
     between = links.join(low, "a").join(high, "b").select(F.col("of_a").alias("a"), F.col("of_b").alias("b"))
     joined = connected_components(between).select(F.col("node").alias("component"), F.col("component").alias("to"))
-    return nodes.join(joined, "component", "left").select("node", F.coalesce("to", "component").alias("component"))
+    return written(
+        nodes.join(joined, "component", "left").select("node", F.coalesce("to", "component").alias("component")), "labels"
+    )
+
 
+def _components(nodes: DataFrame, texts: DataFrame, bands: int, percent: int, width: int) -> DataFrame:
+    """(node, component) of `nodes` (node, n, keys; stored) that chains of verified links join."""
+    alone = nodes.select("node", F.col("node").alias("component"))
+    keyed = nodes.select("node", "n", F.col("node").alias("component"), F.posexplode("keys").alias("at", "value"))
+    keyed = keyed.select(F.xxhash64("at", "value").alias("key"), "node", "n", "component", F.col("at").cast("int").alias("at"))
+    found = written(_shared(keyed).select("key", "node", "n", "at"), "shared-bands")
 
-def _components(sets: DataFrame, bands: int, rows: int, percent: int) -> DataFrame:
-    """(node, component) of `sets` (node, n, shingles; stored) that chains of verified links join."""
-    keys = written(band_keys(sets, bands, rows), "bands")
-    nodes = sets.select("node", F.col("node").alias("component"))
+    def tables(rows: DataFrame, *by: str) -> DataFrame:
+        x = rows.where(F.col("at") < bands).withColumnRenamed("key", "x").withColumn("band", F.col("at"))
+        y = rows.where(F.col("at") >= bands).select("node", F.col("key").alias("y"), (F.col("at") - bands).alias("band"))
+        met = x.join(y if "band" in by else y.drop("band"), ["node", *by])
+        return met.select(F.xxhash64("x", "y").alias("key"), "node", "n", "component")
 
     # Tables of equal bands first: every member is compared with the least one of its bucket.
-    pairs_of_bands = F.arrays_zip(
-        F.sequence(F.lit(0), F.lit(bands - 1)).alias("t"),
-        F.slice("keys", 1, bands).alias("x"),
-        F.slice("keys", bands + 1, bands).alias("y"),
-    )
-    tables = keys.select("node", F.explode(pairs_of_bands).alias("one"))
-    first = tables.select(F.xxhash64("one.t", "one.x", "one.y").alias("key"), "node", F.col("node").alias("component"))
-    starred = _shared(first).where("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b"))
-    links = _verified(written(starred.distinct(), "candidates"), sets, percent)
-    labels = written(_relabelled(nodes, written(links, "links")), "labels")
+    first = _shared(tables(found.withColumn("component", F.col("node")), "band")).where("node <> least.node")
+    fits = F.least("n", "least.n") * 100 >= F.greatest("n", "least.n") * percent
+    starred = first.where(fits).select(F.col("least.node").alias("center"), "node", "n").distinct()
+    links = _stars(written(starred, "stars"), texts, percent, width)
+    labels = _relabelled(alone, written(links, "links"))
 
     # All tables for what these did not join: keys of one component have nothing left to find.
-    labelled = keys.join(labels, "node").select("node", "component", F.posexplode("keys").alias("band", "value"))
-    shared = _shared(labelled.select(F.xxhash64("band", "value").alias("key"), "node", "component", "band"))
-    shared = written(shared.select("node", "component", "key", (F.col("band") < bands).alias("first")), "open-bands")
-    x = shared.where("first").select("node", "component", F.col("key").alias("x"))
-    y = shared.where("NOT first").select("node", F.col("key").alias("y"))
-    crossed = x.join(y, "node").select(F.xxhash64("x", "y").alias("key"), "node", "component")
-    buckets = written(_shared(crossed).select("key", "node", "component"), "open-tables")
-    # Buckets of the same members would find the same links: one of them is enough.
+    open_bands = written(_shared(found.join(labels, "node")).select("key", "node", "n", "at", "component"), "open-bands")
+    open_tables = written(_shared(tables(open_bands)).select("key", "node", "n", "component"), "open-tables")
+    # In most open buckets a few members are not of the component of the others. Each round compares some of them, in
+    # each bucket, with all members of other components; pairs that meet in many buckets are compared once.
+    for number in _PIVOTS:
+        if open_tables.isEmpty():
+            return labels
+        pivoted = written(_pivoted(open_tables, number), "pivoted")
+        met = pivoted.select("node", "n", "component", F.explode("pivots").alias("pivot"))
+        fits = F.least("n", "pivot.n") * 100 >= F.greatest("n", "pivot.n") * percent
+        others = met.where(F.col("component") != F.col("pivot.component")).where(fits)
+        pairs = written(others.select(F.col("pivot.node").alias("center"), "node", "n").distinct(), "stars")
+        labels = _relabelled(labels, written(_stars(pairs, texts, percent, width), "links"))
+        left = pivoted.where(~F.array_contains("pivots.node", F.col("node"))).select("key", "node", "n")
+        open_tables = written(_shared(left.join(labels, "node")).select("key", "node", "n", "component"), "open-tables")
+    if open_tables.isEmpty():
+        return labels
+    # Tables with the same members in a bucket would find the same links: one of them is enough.
     member = F.xxhash64("node")
-    of_key = buckets.groupBy("key").agg(
+    of_key = open_tables.groupBy("key").agg(
         F.count(F.lit(1)).alias("rows"), F.bit_xor(member).alias("x"), F.sum(F.shiftright(member, 32)).alias("y")
     )
-    kept = of_key.groupBy("rows", "x", "y").agg(F.min("key").alias("key"))
-    members = join_counted(buckets, written(kept.select("key", "rows"), "kept-tables"), ["key"], "rows")
-    members = members.join(sets.select("node", "n"), "node").select(F.col("key").alias("bucket"), "node", "component", "n")
-    found = _links_of_open_buckets(written(members, "open-buckets"), sets, percent)
-    return _relabelled(labels, written(found, "links"))
+    kept = written(of_key.groupBy("rows", "x", "y").agg(F.min("key").alias("key")).select("key", "rows"), "kept-tables")
+    members = join_counted(open_tables, kept, ["key"], "rows").select(F.col("key").alias("bucket"), "node", "n", "component")
+    more = _forests(written(members, "open-buckets"), texts, percent, width)
+    return _relabelled(labels, written(more, "links"))
+
+
+def _without_table(rows: DataFrame, table: str) -> DataFrame:
+    """The rows by their files, after the table's name is dropped from the catalog."""
+    spark = rows.sparkSession
+    place = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").first()["data_type"]
+    spark.sql(f"DROP TABLE {table}")
+    return spark.read.schema(rows.schema).parquet(place)
 
 
 def near_duplicates(
@@ -276,33 +342,33 @@ def near_duplicates(
 
     Equal sets collapse to one node. A table key joins a band of one collection of minhashes with a band of another, so
     `bands`² tables need 2 * `bands` * `rows` functions; at the threshold of 80 % a link is missed with a probability
-    below 1 in 100,000. Tables of equal bands come first, where each member is compared with one representative. The other
-    tables are formed only for bands that still stand in several components, and their buckets are solved in tasks: no
-    pair leaves a bucket but a link. Every link is verified by the 64-bit hashes of all shingles of both texts.
+    below 1 in 100,000. Table keys are formed for bands only that another node shares. Tables of equal bands come first,
+    where each member is compared with the least of its bucket; the others are formed for bands that still stand in
+    several components. Of their buckets, too, one and then two members are compared with the others; what is open then is
+    solved in tasks, where no pair leaves a bucket but a link. Every link is verified by the 64-bit hashes of all shingles
+    of both texts; pairs whose minhashes are eight deviations from the threshold, which a similar pair is once in 10^14, are
+    not compared further.
     """
-    every = shingle_sets(docs, words_per_shingle)
+    every, table = shingled(docs, words_per_shingle, bands, rows)
     classes = written(
         every.where("n > 0").groupBy("digest").agg(
             F.min("row").alias("node"), F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies")
         ),
         "classes",
     )
-    sets = written(
-        every.join(classes.select(F.col("node").alias("row")), "row", "left_semi").select(
-            F.col("row").alias("node"), "n", "shingles"
-        ),
-        "sets",
-    )
-    labels = _components(sets, bands, rows, percent)
+    known = every.withColumnRenamed("row", "node")
+    nodes = written(known.select("node", "n", "keys").join(classes.select("node"), "node"), "nodes")
+    labels = _components(nodes, known.select("node", "text", "n", "sketch"), bands, percent, words_per_shingle)
     named = classes.join(labels, "node")
     smallest = named.groupBy("component").agg(F.min("least").alias("component_id"))
     by_digest = written(named.join(smallest, "component").select("digest", "copies", "component_id"), "components")
+    every = _without_table(every, table)
     filled = join_counted(every.where("n > 0").select("doc_id", "digest", "n"), by_digest, ["digest"], "copies")
     bare = every.where("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"))
     found = filled.select("doc_id", "n", "component_id").unionByName(bare)
     return found.select(
         "doc_id",
-        F.col("n").cast("long").alias("n_shingles"),
+        F.col("n").alias("n_shingles"),
         "component_id",
         F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()).alias("kept"),
     )
