@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import os
+import re
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,6 +23,11 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark already runs o
 _BATCH_BYTES = 1 << 20  # text aligned at a time
 _PAIR = 32  # bits of the second id in a pair's key
 HOT_PAIRS = 1 << 19
+_NONE = np.zeros(0, dtype=np.uint32)
+# Fixed value: the words of the library's byte-level splitter.
+_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+# Characters whose class no version of Unicode or engine disputes.
+_PLAIN = re.compile("[\t\n\r -~\u00a1-\u00ac\u00ae-\u024f\u0370-\u0373\u0391-\u03a1\u03a3-\u03ff\u0400-\u04ff‐-‧‹›…€\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fa5]*")
 
 
 def _byte_letters() -> dict[str, int]:
@@ -29,7 +38,11 @@ def _byte_letters() -> dict[str, int]:
 
 
 class ByteLevelTokens:
-    """A byte-level BPE file of the tokenizers library; special tokens in a text are ordinary text."""
+    """A byte-level BPE file of the tokenizers library; special tokens in a text are ordinary text.
+
+    Where the file's merges are numbered in their order, a text of plain characters, which all engines split into words
+    alike, is merged by tiktoken, which is faster; any other text goes to the library.
+    """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
@@ -42,10 +55,34 @@ class ByteLevelTokens:
         for token, number in vocabulary.items():
             known = all(letter in letters for letter in token)
             self.tokens[number] = bytes(letters[a] for a in token) if known else token.encode()
-
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        found = self.library.encode_batch_fast([" " + text for text in texts], add_special_tokens=False)
-        return [one.ids for one in found]
+        self.fast = self._fast(json.loads(Path(path).read_text(encoding="utf-8")))
+
+    def _fast(self, file: dict) -> tiktoken.Encoding | None:
+        splits = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+        cut = file.get("pre_tokenizer") or {}
+        if file.get("normalizer") or any(cut.get(name) != value for name, value in splits.items()):
+            return None
+        model = file["model"]
+        pairs = [tuple(merge.split(" ")) if isinstance(merge, str) else tuple(merge) for merge in model["merges"]]
+        places = [model["vocab"].get(a + b) for a, b in pairs]
+        if places != list(range(256, 256 + len(pairs))) or model.get("ignore_merges"):
+            return None
+        ranks = {token: number for number, token in enumerate(self.tokens[: 256 + len(pairs)])}
+        return tiktoken.Encoding("plain", pat_str=_WORDS, mergeable_ranks=ranks, special_tokens={})
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of a space and each text."""
+        found: list[np.ndarray] = [_NONE] * len(texts)
+        rare = []
+        for i, text in enumerate(texts):
+            if self.fast and _PLAIN.fullmatch(text):
+                found[i] = self.fast.encode_to_numpy(" " + text, disallowed_special=())
+            else:
+                rare.append(i)
+        coded = self.library.encode_batch_fast([" " + texts[i] for i in rare], add_special_tokens=False)
+        for i, one in zip(rare, coded):
+            found[i] = np.array(one.ids, dtype=np.uint32)
+        return found
 
 
 class PieceTokens:
@@ -61,8 +98,9 @@ class PieceTokens:
             for i, piece in enumerate(pieces)
         ]
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return self.library.encode(texts, num_threads=1)
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text."""
+        return [np.array(ids, dtype=np.uint32) for ids in self.library.encode(texts, num_threads=1)]
 
 
 class Aligner:
@@ -75,10 +113,8 @@ class Aligner:
         self.length_a = np.array([len(token) for token in self.a.tokens], dtype=np.int64)
         self.length_b = np.array([len(token) for token in self.b.tokens], dtype=np.int64)
         self.same = identity_map(self.a.tokens, self.b.tokens)
-        # A token's number and what follows it in the written form of the groups.
-        numbers_a, numbers_b = range(len(self.a.tokens)), range(len(self.b.tokens))
-        self.forms = [f"{i}," for i in numbers_a] + [f"{i}|" for i in numbers_a]
-        self.forms += [f"{i}," for i in numbers_b] + [f"{i};" for i in numbers_b]
+        self.forms = _written_forms(len(self.a.tokens), len(self.b.tokens))
+        self.form_length = (self.forms != 0).sum(axis=1)
 
     @classmethod
     def of_worker(cls, path_a: str, path_b: str) -> Aligner:
@@ -87,17 +123,16 @@ class Aligner:
             cls._loaded[path_a, path_b] = cls(path_a, path_b)
         return cls._loaded[path_a, path_b]
 
-    def _ids(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
+    def _ids(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """Ids of both; none for a text that is empty or that either tokenizer does not give back byte by byte."""
         ids_a, ids_b = self.a.encode(texts), self.b.encode(texts)
         for i, text in enumerate(texts):
-            whole = b" " + text.encode() if text else None
-            if (
-                whole is None
-                or b"".join(map(self.a.tokens.__getitem__, ids_a[i])) != whole
-                or b"".join(map(self.b.tokens.__getitem__, ids_b[i])) != whole
+            whole = b" " + text.encode("utf-8", "surrogatepass")
+            if not text or any(
+                b"".join(map(side.tokens.__getitem__, ids.tolist())) != whole
+                for side, ids in ((self.a, ids_a[i]), (self.b, ids_b[i]))
             ):
-                ids_a[i], ids_b[i] = [], []
+                ids_a[i] = ids_b[i] = _NONE
         return ids_a, ids_b
 
     def align(self, texts: list[str]) -> pa.RecordBatch:
@@ -106,40 +141,45 @@ class Aligner:
         All texts are laid end to end; both tokenizers end a token at the end of each, so no group or link reaches over.
         """
         listed_a, listed_b = self._ids(texts)
+        n = len(texts)
         n_a, n_b = (np.array([len(ids) for ids in listed], dtype=np.int64) for listed in (listed_a, listed_b))
-        a, b = (np.array([i for ids in listed for i in ids], dtype=np.int64) for listed in (listed_a, listed_b))
+        a, b = (np.concatenate([_NONE, *listed]).astype(np.int64) for listed in (listed_a, listed_b))
         ends_a, ends_b = np.cumsum(self.length_a[a]), np.cumsum(self.length_b[b])
-        last_a, last_b = np.isin(ends_a, ends_b), np.isin(ends_b, ends_a)
-        group_a = np.cumsum(last_a) - last_a  # the group each token is in
-        group_b = np.cumsum(last_b) - last_b
-        first_doc_a, first_doc_b = np.cumsum(n_a) - n_a, np.cumsum(n_b) - n_b
+        # Marks and their numbers so far, by byte offset.
+        is_a, is_b = np.zeros((2, int(ends_a[-1]) + 1 if len(a) else 1), dtype=bool)
+        is_a[ends_a] = is_b[ends_b] = True
+        number_a, number_b = np.cumsum(is_a, dtype=np.int32), np.cumsum(is_b, dtype=np.int32)
+        groups = np.cumsum(is_a & is_b, dtype=np.int32)
 
         # Links: the ends of both cut the bytes into stretches, each under one token of A and one of B.
-        cuts = np.union1d(ends_a, ends_b)
-        at_a, at_b = np.searchsorted(ends_a, cuts), np.searchsorted(ends_b, cuts)
-        link_a, link_b = a[at_a], b[at_b]
-        doc = np.repeat(np.arange(len(texts)), n_a)[at_a]
+        cuts = np.flatnonzero(is_a | is_b)
+        at_a = number_a[cuts] - is_a[cuts]
+        link_a, link_b = a[at_a], b[number_b[cuts] - is_b[cuts]]
+        doc_a = np.repeat(np.arange(n), n_a)
+        doc = doc_a[at_a]
         regular = self.same[link_a] == link_b
-        ids, id_docs, id_n = _counted(doc[regular], link_a[regular])
-        pairs, pair_docs, pair_n = _counted(doc[~regular], link_a[~regular] << _PAIR | link_b[~regular])
-
-        # Order of all tokens by group, A before B, for the written form.
-        before_b = np.cumsum(np.bincount(group_b, minlength=1))
-        before_a = np.cumsum(np.bincount(group_a, minlength=1))
-        forms = np.empty(len(a) + len(b), dtype=np.int64)
         size_a, size_b = len(self.length_a), len(self.length_b)
-        forms[np.arange(len(a)) + np.where(group_a > 0, before_b[group_a - 1], 0)] = a + last_a * size_a
-        forms[np.arange(len(b)) + before_a[group_b]] = b + 2 * size_a + last_b * size_b
-        written_forms = list(map(self.forms.__getitem__, forms.tolist()))
-        starts = (first_doc_a + first_doc_b).tolist()
+        ids, id_docs, id_n = _counted(doc[regular], link_a[regular], size_a)
+        pairs, pair_docs, pair_n = _counted(doc[~regular], link_a[~regular] * size_b + link_b[~regular], size_a * size_b)
+        pairs = pairs // size_b << _PAIR | pairs % size_b
+
+        # The written form lists the groups in order, the tokens of A before those of B in each.
+        last_a, last_b = is_b[ends_a], is_a[ends_b]
+        shared = np.flatnonzero(is_a & is_b)
+        b_before = np.concatenate(([0], number_b[shared]))
+        forms = np.empty(len(a) + len(b), dtype=np.int64)
+        forms[np.arange(len(a)) + b_before[groups[ends_a] - last_a]] = a + last_a * size_a
+        forms[np.arange(len(b)) + number_a[shared][groups[ends_b] - last_b]] = b + 2 * size_a + last_b * size_b
+        letters = self.forms[forms]
+        spelled = letters[letters != 0].tobytes()
+        ends = np.concatenate(([0], np.cumsum(self.form_length[forms])))[np.concatenate(([0], np.cumsum(n_a + n_b)))].tolist()
         digests = [
-            hashlib.sha256("".join(written_forms[at : at + n])[:-1].encode()).hexdigest() if n else ""
-            for at, n in zip(starts, (n_a + n_b).tolist())
+            hashlib.sha256(spelled[start : end - 1]).hexdigest() if end > start else ""
+            for start, end in zip(ends[:-1], ends[1:])
         ]
-        n_groups = np.bincount(np.repeat(np.arange(len(texts)), n_a)[last_a], minlength=len(texts))
-        n_links = np.bincount(doc, minlength=len(texts))
+        n_groups, n_links = np.bincount(doc_a[last_a], minlength=n), np.bincount(doc, minlength=n)
         lists = [
-            _lists(values, docs, len(texts))
+            _lists(values, docs, n)
             for values, docs in (
                 (ids.astype(np.int32), id_docs),
                 (id_n.astype(np.int32), id_docs),
@@ -164,14 +204,17 @@ def identity_map(tokens_a: list[bytes], tokens_b: list[bytes]) -> np.ndarray:
     return np.array([by_bytes.get(token, -1) for token in tokens_a], dtype=np.int64)
 
 
-def _counted(doc: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The distinct keys of each document, ordered by document, with their documents and numbers."""
-    if not len(doc):
-        return key, doc, np.zeros(0, dtype=np.int64)
-    order = np.lexsort((key, doc))
-    doc, key = doc[order], key[order]
-    first = np.flatnonzero(np.concatenate(([True], (np.diff(doc) != 0) | (np.diff(key) != 0))))
-    return key[first], doc[first], np.diff(np.append(first, len(doc)))
+def _counted(doc: np.ndarray, key: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct keys, all below `size`, of each document, ordered by document, with their documents and numbers."""
+    both, number = np.unique(doc * size + key, return_counts=True)
+    return both % size, both // size, number
+
+
+def _written_forms(size_a: int, size_b: int) -> np.ndarray:
+    """Letters, zero behind their end, of each token's number and what follows it: `,` and `|` for A, `,` and `;` for B."""
+    listed = [f"{i}{after}" for size, last in ((size_a, "|"), (size_b, ";")) for after in ("," + last) for i in range(size)]
+    letters = np.array(listed, dtype=bytes)
+    return letters.view(np.uint8).reshape(len(letters), -1)
 
 
 def _lists(values: np.ndarray, docs: np.ndarray, n: int) -> pa.ListArray:

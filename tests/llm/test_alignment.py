@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -115,6 +116,17 @@ def test_texts_that_do_not_come_back_have_no_tokens(spark):
     assert token_alignment.align_corpus(empty(spark), *PATHS).count() == 0
 
 
+def test_plain_texts_are_merged_like_the_library():
+    tokens = token_alignment.Aligner.of_worker(*PATHS).a
+    assert tokens.fast
+    pick = random.Random(2)
+    letters = [chr(i) for i in range(0x10000) if token_alignment._PLAIN.fullmatch(chr(i))]
+    listed = ["".join(pick.choices(letters[:200] if i % 2 else letters, k=60)) for i in range(400)]
+    listed += ["".join(pick.choices("ab '\n\t\r st12.,é", k=40)) for _ in range(400)] + ["<|endoftext|>"]
+    expected = tokens.library.encode_batch([" " + text for text in listed], add_special_tokens=False)
+    assert [ids.tolist() for ids in tokens.encode(listed)] == [one.ids for one in expected]
+
+
 def test_same_bytes_in_a_shifted_group_count_once():
     aligner = token_alignment.Aligner.of_worker(*PATHS)
     found = aligner.align(texts()[0:1] + [""] + ["hello world"]).to_pydict()
