@@ -19,34 +19,64 @@ from stopmetrics.scratch import written
 _PIECES = "length int, rank_in_part long, doc_id long, piece int, start long, ids_crc32 long, ids binary"
 
 
-def _cut(docs: DataFrame, tokenizer_path: str, end_id: int, capacity: int) -> DataFrame:
+def _ranks(lengths: np.ndarray, seen: np.ndarray) -> np.ndarray:
+    """The rank of each piece among those of its length, of which `seen` came before; counts them in `seen`."""
+    order = np.argsort(lengths, kind="stable")
+    ordered = lengths[order]
+    first = np.flatnonzero(np.diff(ordered, prepend=-1))
+    within = np.arange(len(ordered)) - np.repeat(first, np.diff(first, append=len(ordered)))
+    ranks = np.empty(len(lengths), dtype=np.int64)
+    ranks[order] = within + seen[ordered]
+    seen += np.bincount(lengths, minlength=len(seen))
+    return ranks
+
+
+def _pieces(doc_ids: pa.Array, encoded: list[bytes], end_id: int, capacity: int, seen: np.ndarray, with_ids: bool) -> pa.RecordBatch:
+    """All pieces of some documents, each with its rank among this task's pieces of the same length."""
+    end = int(end_id).to_bytes(4, "little")
+    totals = np.array([len(ids) // 4 + 1 for ids in encoded], dtype=np.int64)
+    number = -(-totals // capacity)
+    doc = np.repeat(np.arange(len(encoded)), number)
+    piece = np.arange(len(doc)) - np.repeat(np.cumsum(number) - number, number)
+    lengths = np.minimum(totals[doc] - piece * capacity, capacity)
+    crc32, sums, own = zlib.crc32, [], []
+    for ids, parts in zip(encoded, number.tolist()):
+        if parts == 1 and not with_ids:
+            sums.append(crc32(end, crc32(ids)))
+            continue
+        ids += end
+        for at in range(0, len(ids), 4 * capacity):
+            cut = ids[at : at + 4 * capacity]
+            sums.append(crc32(cut))
+            if with_ids:
+                own.append(cut)
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(lengths.astype(np.int32)),
+            pa.array(_ranks(lengths, seen)),
+            doc_ids.take(pa.array(doc)),
+            pa.array(piece.astype(np.int32)),
+            pa.array(piece * capacity),
+            pa.array(sums, pa.int64()),
+            pa.array(own, pa.binary()) if with_ids else pa.nulls(len(doc), pa.binary()),
+        ],
+        names=[name.split()[0] for name in _PIECES.split(", ")],
+    )
+
+
+def _cut(
+    docs: DataFrame, tokenizer_path: str, end_id: int, capacity: int, with_ids: bool, specials_as_text: bool
+) -> DataFrame:
     """Pieces of at most `capacity` ids, each with its rank among this task's pieces of the same length."""
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = WordTokenizer.of_worker(tokenizer_path)
+        tokenizer = WordTokenizer.of_worker(tokenizer_path, specials_as_text)
         seen = np.zeros(capacity + 1, dtype=np.int64)
-        end = int(end_id).to_bytes(4, "little")
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
-                rows = []
-                for doc_id, ids in zip(part.column(0).to_pylist(), tokenizer.encode(part.column(1).to_pylist())):
-                    ids += end
-                    for piece, first in enumerate(range(0, len(ids), 4 * capacity)):
-                        own = ids[first : first + 4 * capacity]
-                        length = len(own) // 4
-                        rows.append((length, int(seen[length]), doc_id, piece, first // 4, zlib.crc32(own), own))
-                        seen[length] += 1
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(column, kind)
-                        for column, kind in zip(
-                            zip(*rows),
-                            (pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()),
-                        )
-                    ],
-                    names=[name.split()[0] for name in _PIECES.split(", ")],
-                )
+                encoded = tokenizer.encode(part.column(1).to_pylist())
+                yield _pieces(part.column(0), encoded, end_id, capacity, seen, with_ids)
         release_memory()
 
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
@@ -126,18 +156,27 @@ def best_fit_plan(counts: Iterable[tuple[int, int]], capacity: int) -> np.ndarra
     return np.array(plan, dtype=np.int64).reshape(-1, 5)
 
 
-def pack(docs: DataFrame, tokenizer_path: str, end_id: int, capacity: int = 4096) -> DataFrame:
+def pack(
+    docs: DataFrame,
+    tokenizer_path: str,
+    end_id: int,
+    capacity: int = 4096,
+    with_ids: bool = True,
+    specials_as_text: bool = False,
+) -> DataFrame:
     """Every piece of every document of `docs` (doc_id, text, ...), and its place in a sequence.
 
     Returns (doc_id, piece, start, length, ids, ids_crc32, sequence_id, offset): `ids` are little-endian 32-bit ids,
     `start` counts the document's ids before the piece, `offset` its place in the sequence. Only documents of more than
     `capacity` ids, the end id included, are cut. NULL and empty texts have the end id only; rows with equal or NULL
-    doc_id are packed one by one; no documents give no rows. Further columns of `docs` are not used.
+    doc_id are packed one by one; no documents give no rows. Further columns of `docs` are not used. Without `with_ids`
+    the ids are left NULL. The string of a special token in a text is that token, as the tokenizers library has it,
+    unless `specials_as_text`.
 
     The pieces are written once. The driver gets their number by length, at most `capacity` rows, and plans the whole
     packing from them; the plan goes to the tasks, where each piece's rank among those of its length finds its row.
     """
-    pieces = written(_cut(docs, tokenizer_path, end_id, capacity), "pieces")
+    pieces = written(_cut(docs, tokenizer_path, end_id, capacity, with_ids, specials_as_text), "pieces")
     by_part = pieces.groupBy("length", "part").agg(F.count(F.lit(1)).alias("n"))
     earlier = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     bases = by_part.select("length", "part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))

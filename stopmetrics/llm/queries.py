@@ -103,7 +103,11 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack(
-        _table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_TOKENIZER), end_id=1, capacity=4096
+        _table(spark, sf_dir, "documents"),
+        public_tokenizers.path(WORD_TOKENIZER),
+        end_id=1,
+        capacity=4096,
+        with_ids=False,
     )
     return packed.drop("ids")
 

@@ -33,11 +33,13 @@ def _lists(encoded: list[bytes], end_id: int | None) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values))
 
 
-def encoded(docs: DataFrame, tokenizer_path: str, end_id: int | None) -> DataFrame:
+def encoded(
+    docs: DataFrame, tokenizer_path: str, end_id: int | None, specials_as_text: bool = False
+) -> DataFrame:
     """(doc_id, ids) in the order of `docs`; a NULL text has the end id only."""
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = WordTokenizer.of_worker(tokenizer_path)
+        tokenizer = WordTokenizer.of_worker(tokenizer_path, specials_as_text)
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
@@ -49,19 +51,22 @@ def encoded(docs: DataFrame, tokenizer_path: str, end_id: int | None) -> DataFra
     return texts.mapInArrow(of_batches, "doc_id long, ids array<int>")
 
 
-def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: int | None = None) -> None:
+def write_token_files(
+    docs: DataFrame, path: str, tokenizer_path: str, end_id: int | None = None, specials_as_text: bool = False
+) -> None:
     """Write the token ids of every document of `docs` (doc_id, text, ...) as ORC files, by ascending doc_id.
 
     Files cover successive ranges of doc_id (rows without one first, equal ones by a hash of their text), named by
     column `part`; `row` counts within a file. Documents are range-partitioned once, so a file's size follows the
-    session's number of shuffle partitions. No documents give files without rows. Further columns are not used.
+    session's number of shuffle partitions. The string of a special token in a text is that token, as the tokenizers
+    library has it, unless `specials_as_text`. No documents give files without rows. Further columns are not used.
     """
     spread = docs.select("doc_id", "text").withColumn("tie", F.xxhash64("text"))
     count = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = spread.repartitionByRange(count, F.col("doc_id").asc_nulls_first(), "tie").sortWithinPartitions(
         F.col("doc_id").asc_nulls_first(), "tie"
     )
-    numbered = encoded(ordered, tokenizer_path, end_id).select(
+    numbered = encoded(ordered, tokenizer_path, end_id, specials_as_text).select(
         F.spark_partition_id().alias("part"), F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias("row"), "doc_id", F.size("ids").alias("n_tokens"), "ids"
     )
     numbered.write.options(**_ORC_OPTIONS).orc(path)

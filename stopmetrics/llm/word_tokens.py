@@ -21,17 +21,21 @@ class WordTokenizer:
     """Encodes like the tokenizers library, and keeps the ids of words met before.
 
     It is for tokenizers whose words never reach across white space and whose only other normalization is Unicode
-    composition and lower case; any text with an unusual character goes to the library as a whole. Strings of special
-    tokens in a text are ordinary text. Of the memory of words the later half goes when it holds `memo_limit` of them.
+    composition and lower case; any text with an unusual character goes to the library as a whole. So does a text with
+    the string of a special token, which is that token as the library finds it, or ordinary text if `specials_as_text`.
+    Of the memory of words the later half goes when it holds `memo_limit` of them.
     """
 
-    _loaded: dict[str, WordTokenizer] = {}
+    _loaded: dict[tuple[str, bool], WordTokenizer] = {}
 
-    def __init__(self, path: str, memo_limit: int = 250_000) -> None:
+    def __init__(self, path: str, memo_limit: int = 250_000, specials_as_text: bool = False) -> None:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
+        self.library.encode_special_tokens = specials_as_text
+        added = self.library.get_added_tokens_decoder().values()
+        # Lower-cased: a token may be looked for in the text before or after it is normalized.
+        self.added = [token.content.lower() for token in added]
         vocabulary = self.library.get_vocab()
         self.ends_word = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=bool)
         self.ends_word[[number for token, number in vocabulary.items() if token.endswith("</w>")]] = True
@@ -39,11 +43,12 @@ class WordTokenizer:
         self.memo_limit = memo_limit
 
     @classmethod
-    def of_worker(cls, path: str) -> WordTokenizer:
+    def of_worker(cls, path: str, specials_as_text: bool = False) -> WordTokenizer:
         """The tokenizer of this Python process, loaded once."""
-        if path not in cls._loaded:
-            cls._loaded[path] = cls(path)
-        return cls._loaded[path]
+        key = path, specials_as_text
+        if key not in cls._loaded:
+            cls._loaded[key] = cls(path, specials_as_text=specials_as_text)
+        return cls._loaded[key]
 
     def _library_ids(self, texts: list[str]) -> list[bytes]:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
@@ -89,11 +94,12 @@ class WordTokenizer:
         words: list[list[str] | None] = []
         rare: list[str] = []
         for text in texts:
-            if text and not _PLAIN.fullmatch(text):
+            lowered = text.lower() if text else ""
+            if text and (not _PLAIN.fullmatch(text) or any(token in lowered for token in self.added)):
                 words.append(None)
                 rare.append(text)
             else:
-                words.append(text.lower().split() if text else [])
+                words.append(lowered.split())
         memo = self.memo
         if len(memo) > self.memo_limit:  # what came first is frequent and stays
             for word in list(memo)[self.memo_limit // 2 :]:

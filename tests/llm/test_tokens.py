@@ -27,7 +27,6 @@ RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 @pytest.fixture(scope="module")
 def library():
     found = Tokenizer.from_file(WORDS)
-    found.encode_special_tokens = True
     return lambda text: found.encode(text or "", add_special_tokens=False).ids
 
 
@@ -49,6 +48,27 @@ def test_words_encode_like_the_library(text):
     assert whole.encode([text]) == [expected]
 
 
+SPECIAL = ["hello <|endoftext|> world", "a<|StartOfText|>b <|startoftext|>c", "<|endoftext|>", "no <|end of text|>"]
+
+
+@pytest.mark.parametrize("as_text", [False, True])
+def test_special_tokens_are_what_the_untouched_library_makes_of_them(as_text):
+    untouched = Tokenizer.from_file(WORDS)
+    if as_text:
+        untouched.encode_special_tokens = True
+    expected = [np.array(untouched.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in SPECIAL]
+    assert WordTokenizer.of_worker(WORDS, as_text).encode(SPECIAL) == expected
+
+
+def test_packing_without_ids_places_alike(spark):
+    docs = documents(spark)
+    columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    with_ids = packing.pack(docs, WORDS, end_id=1, capacity=64).select(*columns).collect()
+    without = packing.pack(docs, WORDS, end_id=1, capacity=64, with_ids=False)
+    assert without.where("ids IS NOT NULL").count() == 0
+    assert sorted(map(str, without.select(*columns).collect())) == sorted(map(str, with_ids))
+
+
 def test_long_words_and_a_full_memory(library):
     small = WordTokenizer(WORDS, memo_limit=3)
     for text in texts() * 2:
