@@ -8,48 +8,74 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stopmetrics.functions.typing_rules import parse_operating_day
+from stopmetrics.functions.typing_rules import normalize_flag, parse_operating_day
+from stopmetrics.operators.slices import exclude_pass_through
 from stopmetrics.plans import warehouse
 
 
-def store(df: DataFrame, path: str, cluster: str, by_day: bool = True) -> DataFrame:
+def store(
+    df: DataFrame, path: str, cluster: str, by_day: bool = True, cleared: Iterable[dt.date] = ()
+) -> DataFrame:
     """Write `df` to `path`, partitioned by operating day and sorted by `cluster`, and return it read back.
 
-    Only the days that `df` holds are replaced. The rebalance splits a day that holds most of the rows and joins small
-    days into one task.
+    Only the days that `df` holds are replaced, and the `cleared` ones emptied. The rebalance splits a day that holds most
+    of the rows and joins small days into one task.
     """
     if by_day:
         balanced = df.hint("rebalance", "operating_day").sortWithinPartitions("operating_day", cluster)
         writer = balanced.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         writer.partitionBy("operating_day").parquet(path)
+        nothing = df.sparkSession.createDataFrame([], df.drop("operating_day").schema)
+        for day in cleared:
+            nothing.write.mode("overwrite").parquet(f"{path}/operating_day={day.isoformat()}")
     else:
         df.sortWithinPartitions(cluster).write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_MAKE = {
+    "dim_stations": warehouse.dim_stations,
+    "dim_operators": warehouse.dim_operators,
+    "dim_transport_types": warehouse.dim_transport_types,
+}
+
+
 def build_warehouse(raw: DataFrame, root: str, days: Iterable[str | dt.date] | None = None) -> dict[str, DataFrame]:
     """Staging, facts and dimensions under `root`; raw rows are typed and deduplicated once for all of them.
 
-    With `days`, only these days of `raw` are staged again and their facts replaced; the others keep their files. Stops
-    and facts never cross days, so the result is that of a full build. Dimensions are made anew from the stored
-    stops, of which they read their own few columns. A day among `days` must have rows; to clear one, delete its folders.
+    With `days`, only these days of `raw` are staged again and their facts replaced, or cleared where `raw` has no rows of
+    them; the others keep their files. Stops and facts never cross days, so the result is that of a full build. Besides
+    the facts there are `delay_state`, the delay counts from which figures of any coarser key or period follow, and a log
+    of the distinct attributes per day and dimension. The facts come from the state, and dimensions are made anew from
+    their logs: no stop of an untouched day is read.
     """
     chosen = None if days is None else sorted({dt.date.fromisoformat(str(day)) for day in days})
     rows = raw if chosen is None else raw.where(parse_operating_day(F.col("BETRIEBSTAG")).isin(chosen))
-    flagged = store(warehouse.stops_flagged(rows), f"{root}/stops_flagged", "transport_type")
+    empty: list[dt.date] = []
+    if chosen is not None:  # one pass over the day column alone; a day of pass-throughs only is as empty as one without rows
+        day = parse_operating_day(F.col("BETRIEBSTAG")).alias("day")
+        stopping = exclude_pass_through(rows, normalize_flag(F.col("DURCHFAHRT_TF")))
+        held = {row[0] for row in stopping.select(day).distinct().collect()}
+        empty = [day for day in chosen if day not in held]
+    flagged = store(warehouse.stops_flagged(rows), f"{root}/stops_flagged", "transport_type", cleared=empty)
     changed = flagged if chosen is None else flagged.where(F.col("operating_day").isin(chosen))
+    state = store(warehouse.delay_state(changed), f"{root}/delay_state", "transport_type", cleared=empty)
+    new = state if chosen is None else state.where(F.col("operating_day").isin(chosen))
     staged = warehouse.without_cancelled(flagged)
-    return {
+    tables = {
         "stops_flagged": flagged,
         "stg_stop_events": staged,
         "int_delays": warehouse.int_delays(staged),
-        "fct_daily_delays": store(warehouse.fct_daily_delays(changed), f"{root}/fct_daily_delays", "transport_type"),
-        "fct_station_delays": store(
-            warehouse.fct_station_delays(changed), f"{root}/fct_station_delays", "station_code"
+        "delay_state": state,
+        "fct_daily_delays": store(
+            warehouse.daily_from_state(new), f"{root}/fct_daily_delays", "transport_type", cleared=empty
         ),
-        "dim_stations": store(warehouse.dim_stations(flagged), f"{root}/dim_stations", "station_code", False),
-        "dim_operators": store(warehouse.dim_operators(flagged), f"{root}/dim_operators", "operator_id", False),
-        "dim_transport_types": store(
-            warehouse.dim_transport_types(flagged), f"{root}/dim_transport_types", "transport_type", False
+        "fct_station_delays": store(
+            warehouse.station_from_state(new), f"{root}/fct_station_delays", "station_code", cleared=empty
         ),
     }
+    for name, make in _MAKE.items():
+        key = warehouse.DIMENSIONS[name][0]
+        log = store(warehouse.attribute_log(changed, name), f"{root}/log_{name}", key, cleared=empty)
+        tables[name] = store(make(log), f"{root}/{name}", key, False)
+    return tables

@@ -95,6 +95,89 @@ def unknown_status_count(flagged: DataFrame) -> DataFrame:
     )
 
 
+def tiles(delays: DataFrame) -> DataFrame:
+    """All tiles in one pass: per transport type, per day and type, per hour and weekday, and per season.
+
+    `tile` names the grouping; columns that do not belong to it are NULL. Rows collapse to one count per day, type and hour
+    with map-side combining before they are multiplied by the number of groupings.
+    """
+    day, late = F.col("operating_day"), F.col(_DELAY) >= SIGNIFICANT_DELAY_MIN
+    hour = hour_of_day(F.col("scheduled_arrival_at")).alias("hour")
+    cells = delays.groupBy("operating_day", "transport_type", hour).agg(
+        F.count(_DELAY).alias("n"),
+        F.sum(_DELAY).alias("total"),
+        F.count_if(F.col(_DELAY) <= 0).alias("on_time"),
+        F.count_if(late).alias("late"),
+    )
+    cells = cells.withColumns({"weekday": day_of_week(day), "season": season(day)})
+    by_tile = {
+        "delay_by_type": ["transport_type"],
+        "on_time_trend": ["operating_day", "transport_type"],
+        "hour_weekday": ["hour", "weekday"],
+        "season_profile": ["season"],
+    }
+    columns = ["transport_type", "operating_day", "hour", "weekday", "season"]
+    grouped = cells.groupingSets([[F.col(name) for name in names] for names in by_tile.values()], *columns).agg(
+        F.grouping_id().alias("grouping"),
+        F.sum("n").alias("measured_stops"),
+        F.sum("total").alias("total"),
+        F.sum("on_time").alias("on_time"),
+        F.sum("late").alias("late"),
+    )
+    tile = F.lit(None).cast("string")
+    for name, held in by_tile.items():
+        number = sum(1 << place for place, column in enumerate(reversed(columns)) if column not in held)
+        tile = F.when(F.col("grouping") == number, name).otherwise(tile)
+    return grouped.select(
+        tile.alias("tile"),
+        *columns,
+        "measured_stops",
+        (F.col("total") / F.nullif("measured_stops", F.lit(0))).alias("avg_delay_min"),
+        percent(F.col("on_time"), F.col("measured_stops")).alias("pct_on_time"),
+        percent(F.col("late"), F.col("measured_stops")).alias("pct_delayed_3min"),
+    )
+
+
+def delay_chains(flagged: DataFrame) -> DataFrame:
+    """(operating_day, trip_id, chain, station_code, first_delay, n_stops, max_delay): each run of late stops in a row.
+
+    The station is the one where the run starts. Stops count that have a day, a trip, a station and a measured delay, by
+    their time (stops without one last, as ordered by station). A trip holds one row per station at most, so a group of the
+    window has no more rows than there are stations, whatever share of all rows a trip has; groups of chains keep the
+    window's partitioning and need no shuffle of their own.
+    """
+    at = F.coalesce("scheduled_departure_at", "scheduled_arrival_at")
+    stops = (
+        flagged.where(~F.col("is_cancelled") & has_measured_status())
+        .select("operating_day", "trip_id", "station_code", at.alias("at"), arrival_delay().alias("arr"))
+        .dropna(subset=["operating_day", "trip_id", "station_code", "arr"])
+    )
+    order = [F.col("at").asc_nulls_last(), F.col("station_code")]
+    along = Window.partitionBy("operating_day", "trip_id").orderBy(*order)
+    late = F.col("arr") >= SIGNIFICANT_DELAY_MIN
+    starts = late & ~F.coalesce(F.lag("arr").over(along) >= SIGNIFICANT_DELAY_MIN, F.lit(False))
+    placed = stops.withColumns({"starts": starts.cast("int"), "place": F.row_number().over(along)})
+    numbered = placed.withColumn("chain", F.sum("starts").over(along))
+    first = F.min_by(F.struct("station_code", "arr"), "place")
+    runs = numbered.where(late).groupBy("operating_day", "trip_id", "chain").agg(
+        first.alias("first"), F.count(F.lit(1)).alias("n_stops"), F.max("arr").alias("max_delay")
+    )
+    return runs.select(
+        "operating_day", "trip_id", "chain", "first.station_code", F.col("first.arr").alias("first_delay"), "n_stops", "max_delay"
+    )
+
+
+def chain_origins(flagged: DataFrame) -> DataFrame:
+    """Per station: how many delay chains start there, over how many stops they run, and with what delay they start."""
+    return delay_chains(flagged).groupBy("station_code").agg(
+        F.count(F.lit(1)).alias("n_chains"),
+        F.sum("n_stops").alias("late_stops"),
+        F.avg("n_stops").alias("avg_length"),
+        F.max("n_stops").alias("max_length"),
+        F.avg("first_delay").alias("avg_first_delay"),
+    )
+
+
 def hub_propagation(flagged: DataFrame) -> DataFrame:
     """Per station: the delay added during its stops, and how often a late arrival is still late one stop on.
 

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Iterable
+from urllib.parse import quote
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +16,7 @@ from stopmetrics.schema import CLUSTER_COLUMN, DAY_COLUMN
 from stopmetrics.sources.stop_files import conform, require_columns, require_rows, scan_csv
 
 _DATE_PARTS = {"year": "yyyy", "month": "MM", "day": "dd"}
+_UNDATED = "_undated"  # Spark's listings of the days leave out names that start like this
 
 
 def with_day(raw: DataFrame) -> DataFrame:
@@ -26,12 +30,13 @@ def csv_to_parquet(spark: SparkSession, csv_path: str, parquet_path: str, multil
     return spark.read.schema(raw.schema).parquet(parquet_path)
 
 
-def write_lake(raw: DataFrame, root: str, target_day: str | None = None) -> None:
+def write_lake(raw: DataFrame, root: str, target_day: str | None = None, source: str | None = None) -> None:
     """Lay raw rows out as `root/year=YYYY/month=MM/day=DD`, replacing the days written and no others.
 
     All rows go to `target_day` (`YYYY-MM-DD`), whose folder alone is written, with no rows too; or each to its own
-    parsed day when that is not given, and rows without a readable day to Spark's NULL partition. The rebalance lets
-    Spark split a day that holds most of the rows over several tasks, and join small days into one.
+    parsed day when that is not given. The rebalance lets Spark split a day that holds most of the rows over several
+    tasks, and join small days into one. Rows without a readable day are kept apart, by the name of the load's `source`:
+    they replace those of the same source, those of all other loads stay. A load without a source has a name of its own.
     """
     if target_day:
         folder = dt.date.fromisoformat(target_day).strftime("year=%Y/month=%m/day=%d")
@@ -41,13 +46,34 @@ def write_lake(raw: DataFrame, root: str, target_day: str | None = None) -> None
     day = parse_operating_day(F.col("BETRIEBSTAG"))
     parts = list(_DATE_PARTS)
     dated = raw.select("*", *[F.date_format(day, pattern).alias(part) for part, pattern in _DATE_PARTS.items()])
-    balanced = dated.hint("rebalance", *parts).sortWithinPartitions(*parts, CLUSTER_COLUMN)
+    # A folder per source, overwritten as a whole: a corrected file without such rows clears its own.
+    name = quote(source, safe="") if source else uuid.uuid4().hex
+    raw.where(day.isNull()).write.mode("overwrite").parquet(f"{root}/{_UNDATED}/{name}")
+    balanced = dated.where(day.isNotNull()).hint("rebalance", *parts).sortWithinPartitions(*parts, CLUSTER_COLUMN)
     writer = balanced.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(*parts).parquet(root)
 
 
 def read_lake(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.parquet(root)
+    """All rows with year, month and day, which are NULL for rows without a readable day."""
+    frames = [frame for frame in (_stored(spark, root), _undated(spark, root)) if frame is not None]
+    if not frames:
+        raise ValueError(f"No stop events in {root}.")
+    return frames[0] if len(frames) == 1 else frames[0].unionByName(frames[1], allowMissingColumns=True)
+
+
+def _undated(spark: SparkSession, root: str) -> DataFrame | None:
+    rows = _stored(spark, f"{root}/{_UNDATED}/*")
+    return rows and rows.withColumns({part: F.lit(None).cast("int") for part in _DATE_PARTS})
+
+
+def _stored(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.option("mergeSchema", "true").parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None
 
 
 def create_day_table(raw: DataFrame, table: str, location: str | None = None) -> None:

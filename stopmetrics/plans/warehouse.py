@@ -118,20 +118,27 @@ def int_delays(staged: DataFrame) -> DataFrame:
     )
 
 
-def delay_fact(flagged: DataFrame, keys: Iterable[str], on_time_max_min: int = 0) -> DataFrame:
-    """Delay figures of `stops_flagged` rows per `keys`.
+def delay_counts(flagged: DataFrame, keys: Iterable[str]) -> DataFrame:
+    """(keys..., d, n, n_cancelled): the number of `stops_flagged` rows per whole-minute delay; `d` is NULL where none is
+    measured.
 
-    Two steps: first one count per keys and whole-minute delay, then the figures from those counts. The first
-    step combines per task and splits a hot key over its delays; only its small result meets in one group, where
-    the exact median is read from value counts.
+    Counts of disjoint rows add up, so stored ones answer for any coarser key or period, exactly: see `delay_figures`.
     """
-    names = list(keys)
     measured = ~F.col("is_cancelled") & has_measured_status()
-    counts = (
-        flagged.select(*names, "is_cancelled", F.when(measured, arrival_delay()).alias("d"))
-        .groupBy(*names, "d")
+    return (
+        flagged.select(*keys, "is_cancelled", F.when(measured, arrival_delay()).alias("d"))
+        .groupBy(*keys, "d")
         .agg(F.count(F.lit(1)).alias("n"), F.count_if("is_cancelled").alias("n_cancelled"))
     )
+
+
+def delay_figures(counts: DataFrame, keys: Iterable[str], on_time_max_min: int = 0) -> DataFrame:
+    """Figures of `delay_counts` rows per `keys`, any columns of theirs or made from them.
+
+    Counts of one delay that come from several days or finer keys are added up first, with map-side combining.
+    """
+    names = list(keys)
+    counts = counts.groupBy(*names, "d").agg(F.sum("n").alias("n"), F.sum("n_cancelled").alias("n_cancelled"))
     delay, n = F.col("d"), F.col("n")
 
     def stops_where(condition: Column) -> Column:
@@ -142,6 +149,7 @@ def delay_fact(flagged: DataFrame, keys: Iterable[str], on_time_max_min: int = 0
         F.sum("n").alias("total_stop_events"),
         (F.sum(delay * n) / F.nullif(n_measured, F.lit(0))).alias("avg_delay"),
         F.percentile("d", F.lit(0.5), F.col("n")).alias("median_delay"),
+        F.percentile("d", F.lit(0.95), F.col("n")).alias("p95_delay"),
         F.max("d").alias("max_delay"),
         percent(stops_where(delay <= on_time_max_min), n_measured).alias("pct_on_time"),
         percent(stops_where(delay >= SIGNIFICANT_DELAY_MIN), n_measured).alias("pct_delayed_3min"),
@@ -149,10 +157,38 @@ def delay_fact(flagged: DataFrame, keys: Iterable[str], on_time_max_min: int = 0
     )
 
 
+STATE_KEYS = ("operating_day", "transport_type", "line_name", "operator_id", "station_code")
+
+
+def delay_state(flagged: DataFrame) -> DataFrame:
+    """The delay counts a warehouse keeps: the finest keys of both facts, from which every coarser figure follows."""
+    return delay_counts(flagged, STATE_KEYS)
+
+
+def monthly_line_delays(state: DataFrame) -> DataFrame:
+    """Figures per month, transport type and line, from stored delay counts alone."""
+    keys = ("month", "transport_type", "line_name")
+    return delay_figures(state.withColumn("month", F.trunc("operating_day", "month")), keys)
+
+
+def state_histogram(state: DataFrame, step: int = 5) -> DataFrame:
+    """(transport_type, bin_start, count) of the measured whole-minute delays, from stored delay counts alone."""
+    start = (F.floor(F.col("d") / step) * step).alias("bin_start")
+    return state.where("d IS NOT NULL").groupBy("transport_type", start).agg(F.sum("n").alias("count"))
+
+
+_DAILY_KEYS = ("operating_day", "transport_type", "line_name", "operator_id")
+_STATION_KEYS = ("operating_day", "station_code", "transport_type")
+
+
 def fct_daily_delays(flagged: DataFrame) -> DataFrame:
-    keys = ("operating_day", "transport_type", "line_name", "operator_id")
-    return delay_fact(flagged, keys).select(
-        *keys,
+    return daily_from_state(delay_counts(flagged, _DAILY_KEYS))
+
+
+def daily_from_state(counts: DataFrame) -> DataFrame:
+    """The daily fact from `delay_counts` rows by its keys or finer ones."""
+    return delay_figures(counts, _DAILY_KEYS).select(
+        *_DAILY_KEYS,
         "total_stop_events",
         F.col("avg_delay").alias("avg_arrival_delay"),
         "median_delay",
@@ -164,9 +200,13 @@ def fct_daily_delays(flagged: DataFrame) -> DataFrame:
 
 
 def fct_station_delays(flagged: DataFrame) -> DataFrame:
-    keys = ("operating_day", "station_code", "transport_type")
-    return delay_fact(flagged, keys).select(
-        *keys,
+    return station_from_state(delay_counts(flagged, _STATION_KEYS))
+
+
+def station_from_state(counts: DataFrame) -> DataFrame:
+    """The station fact from `delay_counts` rows by its keys or finer ones."""
+    return delay_figures(counts, _STATION_KEYS).select(
+        *_STATION_KEYS,
         "total_stop_events",
         F.col("avg_delay").alias("avg_arrival_delay_min"),
         F.col("median_delay").alias("median_arrival_delay"),
@@ -189,13 +229,27 @@ def _newest_attributes(flagged: DataFrame, key: str, attributes: Iterable[str])
     return seen.withColumn("age", F.row_number().over(newest)).where("age = 1").select(key, *names)
 
 
+#: Key and attributes of each dimension.
+DIMENSIONS = {
+    "dim_stations": ("station_code", ("station_name", "sloid")),
+    "dim_operators": ("operator_id", ("operator_abbr", "operator_name")),
+    "dim_transport_types": ("transport_type", ("product_id",)),
+}
+
+
+def attribute_log(flagged: DataFrame, dimension: str) -> DataFrame:
+    """The distinct (operating_day, key, attributes) of a dimension, which it can be made from instead of the stops."""
+    key, attributes = DIMENSIONS[dimension]
+    return flagged.where(F.col(key).isNotNull()).select("operating_day", key, *attributes).distinct()
+
+
 def dim_stations(flagged: DataFrame) -> DataFrame:
     """From `stops_flagged`, like the facts: a station with cancelled stops only has fact rows too."""
-    return _newest_attributes(flagged, "station_code", ("station_name", "sloid"))
+    return _newest_attributes(flagged, *DIMENSIONS["dim_stations"])
 
 
 def dim_operators(flagged: DataFrame) -> DataFrame:
-    return _newest_attributes(flagged, "operator_id", ("operator_abbr", "operator_name"))
+    return _newest_attributes(flagged, *DIMENSIONS["dim_operators"])
 
 
 def dim_transport_types(flagged: DataFrame) -> DataFrame:
@@ -209,7 +263,7 @@ def dim_transport_types(flagged: DataFrame) -> DataFrame:
         .when(code == "Bus", "Bus service")
         .otherwise(F.concat(F.lit("Other: "), code))
     )
-    return _newest_attributes(flagged, "transport_type", ("product_id",)).withColumn("description", description)
+    return _newest_attributes(flagged, *DIMENSIONS["dim_transport_types"]).withColumn("description", description)
 
 
 def star_join(fact: DataFrame, *dimensions: tuple[DataFrame, str]) -> DataFrame:

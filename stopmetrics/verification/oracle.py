@@ -289,6 +289,32 @@ _STATION = f"""SELECT operating_day, station_code, transport_type,
 GROUP BY operating_day, station_code, transport_type"""
 
 
+_CORRECTED = _TYPED.replace(
+    " FROM raw)", f" FROM raw WHERE {_day('BETRIEBSTAG')} <> DATE '{RELOADED_DAY}' OR NOT {_CANCELLED})"
+)
+
+# A stop is in the same run as another late one of its trip when no other stop lies between them: then the numbers of stops
+# and of late stops before them grow alike.
+_CHAINS = f"""
+measured AS (
+  SELECT operating_day, trip_id, station_code, {_WHOLE_DELAY} AS arr,
+    row_number() OVER (PARTITION BY operating_day, trip_id
+      ORDER BY COALESCE(scheduled_departure_at, scheduled_arrival_at) NULLS LAST, station_code) AS place
+  FROM flagged WHERE {_IN_FACT} AND {_WHOLE_DELAY} IS NOT NULL
+    AND operating_day IS NOT NULL AND trip_id IS NOT NULL AND station_code IS NOT NULL
+),
+islands AS (
+  SELECT *, place - row_number() OVER (PARTITION BY operating_day, trip_id ORDER BY place) AS island
+  FROM measured WHERE arr >= 3
+),
+chains AS (
+  SELECT operating_day, trip_id, row_number() OVER (PARTITION BY operating_day, trip_id ORDER BY min(place)) AS chain,
+    min(place) AS place, arg_min(station_code, place) AS station_code, arg_min(arr, place) AS first_delay,
+    count(*) AS n_stops, max(arr) AS max_delay
+  FROM islands GROUP BY operating_day, trip_id, island
+)"""
+
+
 def _dimension(key: str, attributes: tuple[str, ...], extra: str = "") -> str:
     names = ", ".join((key, *attributes))
     order = ", ".join(f"{name} DESC NULLS LAST" for name in ("operating_day", *attributes))
@@ -333,6 +359,15 @@ _ROW_KEY = "FAHRT_BEZEICHNER, BPUIC"
 _TARGETS = "('REAL', 'ESTIMATED', 'FORECAST', 'UNKNOWN')"
 
 
+_TILES = f"""
+SELECT CASE grouping(transport_type, operating_day, hour, weekday, season)
+    WHEN 15 THEN 'delay_by_type' WHEN 7 THEN 'on_time_trend' WHEN 25 THEN 'hour_weekday' WHEN 30 THEN 'season_profile' END AS tile,
+  transport_type, operating_day, hour, weekday, season, {_COUNT}, {_AVERAGE}, {_ON_TIME}, {_LATE}
+FROM (SELECT *, CAST(hour(scheduled_arrival_at) AS INTEGER) AS hour,
+  CAST(isodow(operating_day) - 1 AS INTEGER) AS weekday, {_SEASON} FROM delays)
+GROUP BY GROUPING SETS ((transport_type), (operating_day, transport_type), (hour, weekday), (season))"""
+
+
 def oracle_sql() -> dict[str, str]:
     day = _day("BETRIEBSTAG")
     outside = "(delay_min < -60 OR delay_min > 180)"
@@ -356,7 +391,9 @@ def oracle_sql() -> dict[str, str]:
         "csv_to_parquet": _from_blanked(_ALL_BLANKED),
         "lake_layout": _from_raw(
             f"SELECT *, CAST(year({day}) AS INTEGER) AS year, CAST(month({day}) AS INTEGER) AS month, "
-            f"CAST(day({day}) AS INTEGER) AS day FROM raw"
+            f"CAST(day({day}) AS INTEGER) AS day FROM raw "
+            "UNION ALL SELECT * REPLACE ('?' AS BETRIEBSTAG), NULL, NULL, NULL FROM raw "
+            "WHERE FAHRT_BEZEICHNER LIKE '%17' OR FAHRT_BEZEICHNER LIKE '%3'"
         ),
         "create_day_table": _from_raw(f"SELECT *, {day} AS betriebstag_date FROM raw"),
         "replace_day": _from_raw(
@@ -571,4 +608,29 @@ FROM profiled, (SELECT COALESCE(VERKEHRSMITTEL_TEXT, 'NULL') AS value, count(*)
             "count(*) AS total_stop_events FROM flagged GROUP BY 1",
         ),
         "incremental_ingest": _from_blanked(f"SELECT *, {day} AS betriebstag_date FROM blanked"),
+        "ingest_corrected": _from_blanked(
+            f"SELECT *, {day} AS betriebstag_date FROM blanked "
+            f"WHERE {day} <> DATE '{RELOADED_DAY}' OR NOT {_CANCELLED}"
+        ),
+        "refresh_daily_fact": _sql((*_RAW_STEPS, _CORRECTED, _FLAGGED), _DAILY),
+        "refresh_stations": _sql((*_RAW_STEPS, _CORRECTED, _FLAGGED), _STATIONS),
+        "monthly_line_delays": _sql(
+            _FLAGGED_STEPS,
+            "SELECT CAST(date_trunc('month', operating_day) AS DATE) AS month, transport_type, line_name, "
+            f"quantile_cont(d, 0.95) AS p95_delay, {_fact_values('avg_delay', 'median_delay', 'max(d) AS max_delay,')} "
+            "GROUP BY 1, 2, 3",
+        ),
+        "state_histogram": _sql(
+            _FLAGGED_STEPS,
+            f"SELECT transport_type, CAST(floor({_WHOLE_DELAY} / 5e0) * 5 AS BIGINT) AS bin_start, count(*) AS count "
+            f"FROM flagged WHERE {_IN_FACT} AND {_WHOLE_DELAY} IS NOT NULL GROUP BY 1, 2",
+        ),
+        "insight_tiles": _sql(_DELAY_STEPS, _TILES),
+        "delay_chains": _sql((*_FLAGGED_STEPS, _CHAINS), "SELECT * EXCLUDE (place) FROM chains"),
+        "chain_origins": _sql(
+            (*_FLAGGED_STEPS, _CHAINS),
+            "SELECT station_code, count(*) AS n_chains, CAST(sum(n_stops) AS BIGINT) AS late_stops, "
+            "avg(n_stops) AS avg_length, max(n_stops) AS max_length, avg(first_delay) AS avg_first_delay "
+            "FROM chains GROUP BY 1",
+        ),
     }

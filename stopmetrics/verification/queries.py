@@ -12,9 +12,11 @@ from pyspark.sql import functions as F
 from stopmetrics.functions import measures, typing_rules
 from stopmetrics.operators import profile, quality, slices
 from stopmetrics.plans import insights, lake, warehouse
+from stopmetrics.plans.build import build_warehouse
 from stopmetrics.scratch import new_folder, written
 from stopmetrics.sources import archive, stop_files
 from stopmetrics.streaming.ingest import incremental_ingest
+from stopmetrics.streaming.ledger import load_changed
 from stopmetrics.verification.stop_view import listing_pages, loaded_days, raw_stop_events
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -120,12 +122,16 @@ def csv_to_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lake_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All days laid out, then one of them again: the others stay."""
+    """All days laid out, then one of them again: the others stay. Rows without a readable day come with three loads of two
+    files; the last one replaces those of the first."""
     root = new_folder(spark, "raw")
     raw = raw_stop_events(spark, sf_dir)
     lake.write_lake(raw, root)
     again = typing_rules.parse_operating_day(F.col("BETRIEBSTAG")) == F.lit(RELOADED_DAY).cast("date")
     lake.write_lake(raw.where(again), root, target_day=RELOADED_DAY)
+    unreadable = raw.withColumn("BETRIEBSTAG", F.lit("?"))
+    for source, ending in (("a.csv", "7"), ("b.csv", "3"), ("a.csv", "17")):
+        lake.write_lake(unreadable.where(F.col("FAHRT_BEZEICHNER").endswith(ending)), root, source=source)
     return lake.read_lake(spark, root)
 
 
@@ -187,6 +193,31 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stored(spark, table, location)
 
 
+def ingest_corrected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All days loaded, one file corrected under its name and loaded again, then a third load that finds nothing new."""
+    raw = raw_stop_events(spark, sf_dir)
+    root = _write_daily_csv(raw, "corrected")
+    table, location, ledger = _table_name("corrected"), new_folder(spark, "corrected-days"), new_folder(spark, "ledger")
+    load_changed(spark, root, table, ledger, location)
+    of_day = typing_rules.parse_operating_day(F.col("BETRIEBSTAG")) == F.lit(RELOADED_DAY).cast("date")
+    corrected = raw.where(of_day & ~typing_rules.normalize_flag(F.col("FAELLT_AUS_TF")))
+    corrected.write.mode("overwrite").options(**_WRITE_OPTIONS).csv(f"{root}/file={RELOADED_DAY}_istdaten.csv")
+    for expected in ([RELOADED_DAY], []):
+        days = load_changed(spark, root, table, ledger, location)
+        if days != expected:
+            raise ValueError(f"Loaded {days}, not {expected}.")
+    return _stored(spark, table, location)
+
+
+def _refreshed(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """A whole warehouse, of which one day is then refreshed from corrected input."""
+    raw = raw_stop_events(spark, sf_dir)
+    root = new_folder(spark, "refreshed")
+    build_warehouse(raw, root)
+    corrected = raw.where(~typing_rules.normalize_flag(F.col("FAELLT_AUS_TF")))
+    return build_warehouse(corrected, root, days=[RELOADED_DAY])
+
+
 # Typing
 
 
@@ -252,6 +283,10 @@ def _star(raw: DataFrame, station: bool) -> DataFrame:
     )
 
 
+def _state(flagged: DataFrame) -> DataFrame:
+    return written(warehouse.delay_state(flagged), "state")
+
+
 def queries() -> dict[str, Query]:
     return {
         "scan_csv": scan_csv,
@@ -336,4 +371,12 @@ def queries() -> dict[str, Query]:
         "cancellation_rate": _flagged(insights.cancellation_rate),
         "unknown_status_count": _flagged(insights.unknown_status_count),
         "incremental_ingest": stream_ingest,
+        "ingest_corrected": ingest_corrected,
+        "refresh_daily_fact": lambda spark, sf_dir: _refreshed(spark, sf_dir)["fct_daily_delays"],
+        "refresh_stations": lambda spark, sf_dir: _refreshed(spark, sf_dir)["dim_stations"],
+        "monthly_line_delays": _flagged(lambda flagged: warehouse.monthly_line_delays(_state(flagged))),
+        "state_histogram": _flagged(lambda flagged: warehouse.state_histogram(_state(flagged))),
+        "insight_tiles": _delays(insights.tiles),
+        "delay_chains": _flagged(insights.delay_chains),
+        "chain_origins": _flagged(insights.chain_origins),
     }

@@ -9,6 +9,7 @@ from stopmetrics.plans import lake
 from stopmetrics.schema import RAW_COLUMNS
 from stopmetrics.scratch import new_folder, shared_folder
 from stopmetrics.streaming.ingest import incremental_ingest, reload_day
+from stopmetrics.streaming.ledger import load_changed, read_ledger
 
 
 
@@ -218,3 +219,64 @@ def test_intermediates_need_a_shared_folder():
 
     with pytest.raises(ValueError, match="Set spark.checkpoint.dir"):
         shared_folder(Session())
+
+
+def test_rows_without_a_day_stay_through_later_loads(spark, raw):
+    root = new_folder(spark, "lake")
+    lake.write_lake(raw(stop("a"), stop("x", BETRIEBSTAG="?"), stop("y", BETRIEBSTAG=None)), root, source="first.csv")
+    lake.write_lake(raw(stop("b", BETRIEBSTAG="2026-03-02"), stop("z", BETRIEBSTAG="31.02.2026")), root, source="s/2 é.csv")
+    lake.write_lake(raw(stop("u", BETRIEBSTAG="")), root)
+    lake.write_lake(raw(stop("v", BETRIEBSTAG="")), root)
+
+    def held():
+        rows = lake.read_lake(spark, root).select("day", "FAHRT_BEZEICHNER").collect()
+        return sorted(((row[0] or 0), row[1]) for row in rows)
+
+    assert held() == [(0, "u"), (0, "v"), (0, "x"), (0, "y"), (0, "z"), (1, "a"), (2, "b")]
+    lake.write_lake(raw(stop("a"), stop("w", BETRIEBSTAG="?")), root, source="first.csv")
+    assert held() == [(0, "u"), (0, "v"), (0, "w"), (0, "z"), (1, "a"), (2, "b")]
+    lake.write_lake(raw(stop("a")), root, source="first.csv")
+    assert held() == [(0, "u"), (0, "v"), (0, "z"), (1, "a"), (2, "b")]
+
+
+def test_a_lake_of_undated_rows_only_and_an_empty_one(spark, raw):
+    root = new_folder(spark, "lake")
+    with pytest.raises(ValueError, match="No stop events"):
+        lake.read_lake(spark, root)
+    lake.write_lake(raw(stop("x", BETRIEBSTAG="?")), root)
+    assert [tuple(r) for r in lake.read_lake(spark, root).select("year", "FAHRT_BEZEICHNER").collect()] == [(None, "x")]
+
+
+def test_ledger_loads_corrected_files_once(spark, tmp_path, table_name):
+    table, entries, place = table_name(), new_folder(spark, "ledger"), new_folder(spark, "days")
+    load = lambda: load_changed(spark, str(tmp_path), table, entries, place)
+    assert load() == []
+    for day, trip in (("2026-03-01", "a"), ("2026-03-02", "b")):
+        daily(tmp_path, day, trip, "n/a")
+    assert load() == ["2026-03-01", "2026-03-02"]
+    before = read_ledger(spark, entries).count()
+    assert load() == [] and read_ledger(spark, entries).count() == before == 2
+    daily(tmp_path, "2026-03-02", "corrected", "twice")
+    daily(tmp_path, "2026-03-03", "c")
+    assert load() == ["2026-03-02", "2026-03-03"]
+    expected = [("2026-03-01", "a"), ("2026-03-02", "corrected"), ("2026-03-02", "twice"), ("2026-03-03", "c")]
+    assert [row for row in contents_text(spark, table) if row[1]] == expected
+    assert load() == []
+
+
+def test_ledger_takes_nothing_from_a_failed_load(spark, tmp_path, table_name):
+    table, entries, place = table_name(), new_folder(spark, "ledger"), new_folder(spark, "days")
+    daily(tmp_path, "2026-03-01", "a")
+    assert load_changed(spark, str(tmp_path), table, entries, place) == ["2026-03-01"]
+    daily(tmp_path, "2026-03-01")
+    with pytest.raises(ValueError, match="No stop events of their day"):
+        load_changed(spark, str(tmp_path), table, entries, place)
+    assert spark.table(table).count() == 1
+    assert read_ledger(spark, entries).count() == 1
+    daily(tmp_path, "2026-03-01", "b")
+    assert load_changed(spark, str(tmp_path), table, entries, place) == ["2026-03-01"]
+    (tmp_path / "again").mkdir()
+    daily(tmp_path / "again", "2026-03-05", "x")
+    daily(tmp_path, "2026-03-05", "y")
+    with pytest.raises(ValueError, match="Two changed files"):
+        load_changed(spark, str(tmp_path), table, entries, place)

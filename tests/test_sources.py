@@ -202,3 +202,16 @@ def test_leftover_names_are_no_daily_files(spark, tmp_path):
         write(tmp_path, f"2025-01-01_{day}".replace("_", "-") + "_x.csv", HEADER)
         write(tmp_path, f"19{day + 10}-01-01_istdaten.csv", HEADER)
     assert len(stop_files.daily_files(spark, str(tmp_path))) == 41
+
+
+def test_long_quoted_text_in_a_short_row(spark, tmp_path):
+    """A megabyte of quoted text, with doubled quotes and separators, in a row of too few or too many fields."""
+    text = 'x;""y' * 200_000
+    short = write(tmp_path, "short.csv", HEADER, f'1;"{text}";3')
+    assert spark.range(1).count() == 1
+    row = stop_files.scan_csv(spark.newSession(), short).first()
+    assert len(row[1]) <= 1_000_000 and row[2:] == ("3", None, None, None)
+    longer = write(tmp_path, "long.csv", HEADER, f'1;"{text}";3;4;5;6;7')
+    with pytest.raises(Exception, match="more fields than its header"):
+        stop_files.scan_csv(spark, longer).collect()
+    assert spark.range(1).count() == 1

@@ -186,3 +186,75 @@ def test_refreshing_days_equals_a_full_build_and_keeps_other_files(spark, raw, t
     for name in ("stops_flagged", "fct_daily_delays", "fct_station_delays", "dim_stations", "dim_transport_types"):
         now = spark.read.parquet(f"{root}/{name}").select(expected[name].columns)
         assert sorted(map(str, now.collect())) == sorted(map(str, expected[name].collect())), name
+
+
+def test_a_day_without_rows_is_cleared_and_untouched_days_are_not_read(spark, raw, tmp_path):
+    root = str(tmp_path / "w")
+    events = [stop("a"), stop("b", BETRIEBSTAG="2026-03-02", HALTESTELLEN_NAME="New"), stop("c", "8500009", BETRIEBSTAG="2026-03-02")]
+    build.build_warehouse(raw(*events), root)
+    for folder in ("stops_flagged", "delay_state", "log_dim_stations"):  # unreadable from now on
+        for path in (tmp_path / "w" / folder / "operating_day=2026-03-01").glob("*.parquet"):
+            if folder == "stops_flagged":
+                path.write_bytes(b"no parquet")
+    tables = build.build_warehouse(raw(events[0]), root, days=["2026-03-02"])
+    assert [str(r.operating_day) for r in tables["fct_daily_delays"].collect()] == ["2026-03-01"]
+    assert [str(r.operating_day) for r in tables["fct_station_delays"].collect()] == ["2026-03-01"]
+    assert [tuple(r) for r in tables["dim_stations"].select("station_code", "station_name").collect()] == [
+        (8500001, "Station 8500001")
+    ]
+    later = build.build_warehouse(raw(*events), root, days=["2026-03-02"])
+    assert later["fct_daily_delays"].count() == 2
+    names = {r.station_code: r.station_name for r in later["dim_stations"].collect()}
+    assert names == {8500001: "New", 8500009: "Station 8500009"}
+
+
+def test_state_answers_for_coarser_keys(spark, skewed):
+    flagged = warehouse.stops_flagged(skewed)
+    state = warehouse.delay_state(flagged)
+    assert sorted(map(str, warehouse.daily_from_state(state).collect())) == sorted(
+        map(str, warehouse.fct_daily_delays(flagged).collect())
+    )
+    halves = [flagged.where(f"pmod(hash(trip_id), 2) = {i}") for i in (0, 1)]
+    merged = warehouse.delay_state(halves[0]).unionByName(warehouse.delay_state(halves[1]))
+    for make in (warehouse.monthly_line_delays, warehouse.station_from_state, warehouse.state_histogram):
+        assert sorted(map(str, make(merged).collect())) == sorted(map(str, make(state).collect()))
+
+
+def test_chains_by_a_walk_over_each_trip(skewed):
+    flagged = warehouse.stops_flagged(skewed)
+    found = sorted(tuple(r)[3:] for r in insights.delay_chains(flagged).collect())
+    stops = [
+        r
+        for r in flagged.withColumn("arr", warehouse.arrival_delay()).collect()
+        if not r.is_cancelled and (r.arrival_status or "") in ("REAL", "ESTIMATED")
+        and None not in (r.operating_day, r.trip_id, r.station_code, r.arr)
+    ]
+    trips = {}
+    for r in stops:
+        at = r.scheduled_departure_at or r.scheduled_arrival_at
+        trips.setdefault((r.operating_day, r.trip_id), []).append((at is None, at, r.station_code, r.arr))
+    expected = []
+    for trip in trips.values():
+        run = []
+        for _, _, station, arr in [*sorted(trip, key=lambda s: (s[0], str(s[1]), s[2])), (0, 0, 0, 0)]:
+            if arr >= 3:
+                run.append((station, arr))
+            elif run:
+                expected.append((run[0][0], run[0][1], len(run), max(a for _, a in run)))
+                run = []
+    assert found == sorted(expected) and found
+
+
+def test_tiles_in_one_pass_equal_the_single_ones(skewed):
+    delays = warehouse.int_delays(warehouse.stg_stop_events(skewed))
+    whole = insights.tiles(delays)
+    for name, single in (
+        ("delay_by_type", insights.tile_delay_by_type(delays)),
+        ("on_time_trend", insights.tile_on_time_trend(delays)),
+        ("hour_weekday", insights.tile_hour_weekday(delays)),
+        ("season_profile", insights.season_profile(delays)),
+    ):
+        mine = whole.where(whole.tile == name).select(single.columns)
+        assert sorted(map(str, mine.collect())) == sorted(map(str, single.collect())), name
+    plan = whole._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Expand") == 1 and plan.count("LogicalRDD") + plan.count("LocalRelation") + plan.count("Range") == 1
