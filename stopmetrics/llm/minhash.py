@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stopmetrics.llm.graph import connected_components
@@ -19,8 +19,7 @@ from stopmetrics.scratch import new_folder, written
 
 SEED = 13
 _SHINGLES, _FUNCTIONS = 2048, 64  # hashed at a time
-_PIVOTS = (1, 2)  # members of each open bucket compared with all others, by round
-_BLOCK = 1 << 20  # shingles that meet in one group
+_BLOCK = 1 << 20  # shingles and buckets that meet in one group
 
 
 def shingle_set(text: str | None, words_per_shingle: int = 2) -> np.ndarray:
@@ -124,7 +123,7 @@ class _Members:
     """The members of a group: their sizes and sketches at once, their shingle sets when asked for."""
 
     def __init__(self, table: pa.Table, percent: int, width: int) -> None:
-        self.texts, self.percent, self.width = table.column("text"), percent, width
+        self.table, self.texts, self.percent, self.width = table, table.column("text"), percent, width
         self.sizes = table.column("n").to_numpy()
         self.sketches = np.array([np.frombuffer(one, np.uint8) for one in table.column("sketch").to_pylist()])
         functions = self.sketches.shape[1]
@@ -206,31 +205,26 @@ def _shared(keyed: DataFrame) -> DataFrame:
     return join_counted(keyed, several, ["key"], "rows")
 
 
-def _pivoted(members: DataFrame, number: int) -> DataFrame:
-    """`members` (key, node, n, component; stored) with `pivots`, the first `number` of their key.
-
-    Members of small components come first. The window's limit keeps the first of each key within each task.
-    """
-    parts = members.groupBy("key", "component").agg(F.count(F.lit(1)).alias("rows"))
-    sized = join_counted(members, written(parts, "parts"), ["key", "component"], "rows")
-    order = Window.partitionBy("key").orderBy("rows", "component", "node")
-    chosen = sized.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= number)
-    pivots = chosen.groupBy("key").agg(F.collect_list(F.struct("node", "n", "component")).alias("pivots"))
-    counted = parts.groupBy("key").agg(F.sum("rows").alias("rows")).join(pivots, "key")
-    return join_counted(members, written(counted, "pivots"), ["key"], "rows").drop("rows")
-
-
 def _forest(members: _Members, component: np.ndarray, side: np.ndarray) -> list[tuple[int, int]]:
-    """Links (indices) that join what verified links join, among members of different components.
+    """Links (indices) that join what verified links join, among members of different components that share a bucket.
 
     Members already joined are not compared, nor two of one side when there are two sides: others compare those.
     """
+    lists = members.table.column("buckets").combine_chunks()
+    sizes = lists.value_lengths().to_numpy()
+    bucket = np.unique(lists.flatten().to_numpy(), return_inverse=True)[1]
+    by_bucket = np.repeat(np.arange(len(sizes)), sizes)[np.argsort(bucket, kind="stable")]
+    in_bucket = np.split(by_bucket, np.cumsum(np.bincount(bucket))[:-1])
+    own = np.split(bucket, np.cumsum(sizes)[:-1])
     root = np.unique(component, return_inverse=True)[1]
-    two_sides = len(np.unique(side)) > 1
+    two_sides, first = side.min() < side.max(), side.min()
     links = []
     for i in range(len(root)):
-        others = np.flatnonzero((root != root[i]) & (side != side[i])) if two_sides else np.flatnonzero(root != root[i])
-        for j in members.near(i, others):
+        if two_sides and side[i] != first:
+            continue
+        met = np.concatenate([in_bucket[b] for b in own[i].tolist()])
+        ahead = side[met] != first if two_sides else met > i
+        for j in members.near(i, np.unique(met[ahead & (root[met] != root[i])])):
             if root[j] != root[i]:
                 links.append((i, j))
                 root[root == root[j]] = root[i]
@@ -238,25 +232,28 @@ def _forest(members: _Members, component: np.ndarray, side: np.ndarray) -> list[
 
 
 def _forests(members: DataFrame, texts: DataFrame, percent: int, width: int) -> DataFrame:
-    """Links between the components of each bucket of `members` (bucket, node, n, component; stored).
+    """Links between the components that meet in buckets of `members` (low, node, n, component, buckets; stored).
 
-    A bucket whose sets are too many for one task is cut into blocks by a hash of the node, and every two blocks meet in
-    a task, so all its members are compared wherever they are.
+    All buckets with the same least component, `low`, are one group, so a text goes to a task once and not once for each
+    of its buckets. A group too large for one task is cut into blocks by a hash of the node, and every two blocks meet in
+    a task, so all members of a bucket are compared wherever they are.
     """
-    sized = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("shingles"))
-    sized = written(sized.withColumn("blocks", F.ceil(F.col("shingles") / _BLOCK).cast("int")), "buckets")
-    dealt = join_counted(members, sized, ["bucket"], "rows").withColumn(
+    weight = F.col("n") + F.size("buckets") + 64
+    sized = members.groupBy("low").agg(F.count(F.lit(1)).alias("rows"), F.sum(weight).alias("weight"))
+    sized = written(sized.select("low", "rows", F.ceil(F.col("weight") / _BLOCK).cast("int").alias("blocks")), "groups")
+    dealt = join_counted(members, sized, ["low"], "rows").withColumn(
         "side", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     )
     met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "bucket",
-        F.least("side", "other").alias("low"),
-        F.greatest("side", "other").alias("high"),
+        "low",
+        F.least("side", "other").alias("x"),
+        F.greatest("side", "other").alias("y"),
         "side",
         "node",
         "component",
+        "buckets",
     )
-    return _in_groups(met, texts, ["bucket", "low", "high"], _forest, percent, width)
+    return _in_groups(met, texts, ["low", "x", "y"], _forest, percent, width)
 
 
 def _relabelled(nodes: DataFrame, links: DataFrame) -> DataFrame:
@@ -295,29 +292,20 @@ def _components(nodes: DataFrame, texts: DataFrame, bands: int, percent: int, wi
     # All tables for what these did not join: keys of one component have nothing left to find.
     open_bands = written(_shared(found.join(labels, "node")).select("key", "node", "n", "at", "component"), "open-bands")
     open_tables = written(_shared(tables(open_bands)).select("key", "node", "n", "component"), "open-tables")
-    # In most open buckets a few members are not of the component of the others. Each round compares some of them, in
-    # each bucket, with all members of other components; pairs that meet in many buckets are compared once.
-    for number in _PIVOTS:
-        if open_tables.isEmpty():
-            return labels
-        pivoted = written(_pivoted(open_tables, number), "pivoted")
-        met = pivoted.select("node", "n", "component", F.explode("pivots").alias("pivot"))
-        fits = F.least("n", "pivot.n") * 100 >= F.greatest("n", "pivot.n") * percent
-        others = met.where(F.col("component") != F.col("pivot.component")).where(fits)
-        pairs = written(others.select(F.col("pivot.node").alias("center"), "node", "n").distinct(), "stars")
-        labels = _relabelled(labels, written(_stars(pairs, texts, percent, width), "links"))
-        left = pivoted.where(~F.array_contains("pivots.node", F.col("node"))).select("key", "node", "n")
-        open_tables = written(_shared(left.join(labels, "node")).select("key", "node", "n", "component"), "open-tables")
     if open_tables.isEmpty():
         return labels
     # Tables with the same members in a bucket would find the same links: one of them is enough.
     member = F.xxhash64("node")
     of_key = open_tables.groupBy("key").agg(
-        F.count(F.lit(1)).alias("rows"), F.bit_xor(member).alias("x"), F.sum(F.shiftright(member, 32)).alias("y")
+        F.count(F.lit(1)).alias("rows"),
+        F.min("component").alias("low"),
+        F.bit_xor(member).alias("x"),
+        F.sum(F.shiftright(member, 32)).alias("y"),
     )
-    kept = written(of_key.groupBy("rows", "x", "y").agg(F.min("key").alias("key")).select("key", "rows"), "kept-tables")
-    members = join_counted(open_tables, kept, ["key"], "rows").select(F.col("key").alias("bucket"), "node", "n", "component")
-    more = _forests(written(members, "open-buckets"), texts, percent, width)
+    one_of_equal = of_key.groupBy("rows", "low", "x", "y").agg(F.min("key").alias("key")).select("key", "rows", "low")
+    members = join_counted(open_tables, written(one_of_equal, "kept-tables"), ["key"], "rows")
+    of_node = members.groupBy("low", "node", "n", "component").agg(F.collect_list("key").alias("buckets"))
+    more = _forests(written(of_node, "open-groups"), texts, percent, width)
     return _relabelled(labels, written(more, "links"))
 
 
@@ -344,8 +332,8 @@ def near_duplicates(
     `bands`² tables need 2 * `bands` * `rows` functions; at the threshold of 80 % a link is missed with a probability
     below 1 in 100,000. Table keys are formed for bands only that another node shares. Tables of equal bands come first,
     where each member is compared with the least of its bucket; the others are formed for bands that still stand in
-    several components. Of their buckets, too, one and then two members are compared with the others; what is open then is
-    solved in tasks, where no pair leaves a bucket but a link. Every link is verified by the 64-bit hashes of all shingles
+    several components. Their buckets are solved in tasks, all buckets of one component together, where no pair leaves a
+    task but a link. Every link is verified by the 64-bit hashes of all shingles
     of both texts; pairs whose minhashes are eight deviations from the threshold, which a similar pair is once in 10^14, are
     not compared further.
     """

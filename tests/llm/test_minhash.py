@@ -89,7 +89,6 @@ def test_few_bands_leave_the_rest_to_open_buckets(spark, monkeypatch):
     rows = [(i, text) for i, text in enumerate(near_texts()[:90])]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     monkeypatch.setattr(minhash, "_BLOCK", 700)
-    monkeypatch.setattr(minhash, "_PIVOTS", (1,))
     monkeypatch.setattr(minhash, "_SHINGLES", 7)
     assert got(minhash.near_duplicates(docs, words_per_shingle=2, bands=30, rows=2)) == brute(rows)
 
