@@ -13,8 +13,9 @@ from stopmetrics.functions.measures import delay_minutes, delay_minutes_by_parts
 from stopmetrics.functions.typing_rules import has_delay_status, normalize_flag, null_label
 from stopmetrics.operators.slices import DEFAULT_RANGE_MIN, check_range, delay_range, is_computable, with_delay
 
-# A number or a boolean; anything else is text.
-_LITERAL = r"^\s*[+-]?(?:(?:\d+(?:\.\d*)?|\.\d+)(?:[eE][+-]?\d+)?|(?i:inf|infinity))\s*$|^(?i:true|false)$"
+_INTEGER = r"^\s*[+-]?\d+\s*$"
+_NUMBER = r"^\s*[+-]?(?:(?:\d+(?:\.\d*)?|\.\d+)(?:[eE][+-]?\d+)?|(?i:inf|infinity))\s*$"
+_BOOLEAN = r"^(?i:true|false)$"
 
 
 def _column(name: str) -> Column:
@@ -29,58 +30,89 @@ def profile_overview(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("row_count")).withColumn("column_count", F.lit(len(df.columns)).cast("bigint"))
 
 
+def _value_class(name: str) -> Column:
+    """Of one text: 1 integer, 2 decimal, 4 boolean, 8 other, 0 NULL."""
+    value = _column(name)
+    return (
+        F.when(value.isNull(), 0)
+        .when(value.rlike(_INTEGER), 1)
+        .when(value.rlike(_NUMBER), 2)
+        .when(value.rlike(_BOOLEAN), 4)
+        .otherwise(8)
+    )
+
+
+def _seen_classes(name: str, kind: str) -> Column:
+    """Classes of all texts of a column, or-ed together; NULL for a column that is no text."""
+    seen = F.coalesce(F.bit_or(_value_class(name)), F.lit(0)) if kind == "string" else F.lit(None).cast("int")
+    return seen.alias(f"seen_{name}")
+
+
+def _narrowest(seen: Column, column: Column, kinds: dict[str, str]) -> Column:
+    """The narrowest type that holds all classes of `seen`; a column that is no text keeps its type."""
+    inferred = (
+        F.when(seen == 1, "bigint").when(seen.isin(2, 3), "double").when(seen == 4, "boolean").otherwise("string")
+    )
+    typed = [F.lit(text) for pair in kinds.items() if pair[1] != "string" for text in pair]
+    return F.coalesce(F.element_at(F.create_map(*typed), column), inferred) if typed else inferred
+
+
 def column_types(df: DataFrame) -> DataFrame:
     """(column, dtype) by column name; a text column gets the narrowest type all its values fit.
 
-    Cells become (column, value) rows inside the scan tasks. Each value is classed once (1 integer, 2 decimal,
-    4 boolean, 8 other) and the classes of a column are or-ed together, so one integer per column and task is
-    shuffled. A row of NULLs keeps the columns of an empty input.
+    One aggregate without keys: each task sends one integer per column.
     """
     kinds = dict(df.dtypes)
-    texts = df.select(
-        *[(_column(n) if k == "string" else F.lit(None).cast("string")).alias(n) for n, k in kinds.items()]
-    )
-    nulls = df.sparkSession.range(1).select(*[F.lit(None).cast("string").alias(name) for name in kinds])
-    cells = texts.union(nulls).unpivot([], [_column(name) for name in kinds], "column", "value")
-    matched = cells.select("column", "value", F.regexp_extract("value", _LITERAL, 0).alias("match"))
-    match = F.col("match")
-    kind = (
-        F.when(F.col("value").isNull(), 0)
-        .when(match == "", 8)
-        .when(F.lower(match).isin("true", "false"), 4)
-        .when(F.translate(match, ".eEiI", "") == match, 1)
-        .otherwise(2)
-    )
-    seen = matched.groupBy("column").agg(F.bit_or(kind).alias("seen"))
-    inferred = (
-        F.when(F.col("seen") == 1, "bigint")
-        .when(F.col("seen").isin(2, 3), "double")
-        .when(F.col("seen") == 4, "boolean")
-        .otherwise("string")
-    )
-    typed = [F.lit(text) for pair in kinds.items() if pair[1] != "string" for text in pair]
-    dtype = F.coalesce(F.element_at(F.create_map(*typed), F.col("column")), inferred) if typed else inferred
-    return seen.select("column", dtype.alias("dtype")).orderBy("column")
+    classes = df.agg(*[_seen_classes(name, kind) for name, kind in kinds.items()]).toDF(*kinds)
+    seen = _long_form(classes, [], list(kinds), "column", "seen")
+    return seen.select("column", _narrowest(F.col("seen"), F.col("column"), kinds).alias("dtype")).orderBy("column")
 
 
-def null_rates(df: DataFrame) -> DataFrame:
-    """(column, null_count, null_rate_pct), highest rate first; a NaN counts as missing."""
+def _missing(name: str, kind: str) -> Column:
+    value = _column(name)
+    return value.isNull() | F.isnan(value) if kind in ("float", "double") else value.isNull()
 
-    def missing(name: str, kind: str) -> Column:
-        value = _column(name)
-        return value.isNull() | F.isnan(value) if kind in ("float", "double") else value.isNull()
 
+def _null_share() -> Column:
+    return F.round(F.lit(100.0) * F.col("null_count") / F.greatest(F.col("__rows"), F.lit(1)), 3).alias("null_rate_pct")
+
+
+def null_rates(df: DataFrame) -> DataFrame:
+    """(column, null_count, null_rate_pct), highest rate first; a NaN counts as missing."""
     counts = df.agg(
-        F.count(F.lit(1)).alias("__rows"), *[F.count_if(missing(name, kind)).alias(name) for name, kind in df.dtypes]
+        F.count(F.lit(1)).alias("__rows"), *[F.count_if(_missing(name, kind)).alias(name) for name, kind in df.dtypes]
     )
-    share = F.round(F.lit(100.0) * F.col("null_count") / F.greatest(F.col("__rows"), F.lit(1)), 3)
     return (
         _long_form(counts, ["__rows"], df.columns, "column", "null_count")
-        .select("column", "null_count", share.alias("null_rate_pct"))
+        .select("column", "null_count", _null_share())
         .orderBy(F.desc("null_rate_pct"), F.asc("column"))
     )
 
 
+def column_profile(df: DataFrame) -> DataFrame:
+    """(column, dtype, row_count, null_count, null_rate_pct) by column name: overview, types and null rates from one scan.
+
+    No rows give a line per column with zeros, the texts among them as strings.
+    """
+    kinds = dict(df.dtypes)
+    figures = df.agg(
+        F.count(F.lit(1)).alias("__rows"),
+        *[F.count_if(_missing(name, kind)).alias(f"nulls_{name}") for name, kind in kinds.items()],
+        *[_seen_classes(name, kind) for name, kind in kinds.items()],
+    )
+    columns = [
+        F.struct(
+            F.lit(name).alias("column"),
+            _column(f"seen_{name}").alias("seen"),
+            _column(f"nulls_{name}").alias("null_count"),
+        )
+        for name in kinds
+    ]
+    lines = figures.select("__rows", F.inline(F.array(*columns)))
+    dtype = _narrowest(F.col("seen"), F.col("column"), kinds).alias("dtype")
+    return lines.select("column", dtype, F.col("__rows").alias("row_count"), "null_count", _null_share()).orderBy("column")
+
+
 def value_distribution(df: DataFrame, column: str, top: int | None = None) -> DataFrame:
     """(value, count, share_pct), most frequent first; the share is over the whole table, also with `top`.
 

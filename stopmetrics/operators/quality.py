@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from stopmetrics.operators.slices import REASONABLE_DELAY_MIN
@@ -41,6 +42,49 @@ def test_accepted_values(
     )
 
 
+@dataclass(frozen=True)
+class RowCheck:
+    """A condition that a row of a table should not meet. A `strict` one fails the write at the first row that does."""
+
+    name: str
+    offends: Column
+    strict: bool = False
+
+
+def not_null(*columns: str, strict: bool = False) -> list[RowCheck]:
+    return [RowCheck(f"not_null_{name}", F.col(name).isNull(), strict) for name in columns]
+
+
+def accepted_values(column: str, accepted: Iterable[str], strict: bool = False) -> RowCheck:
+    return RowCheck(f"accepted_{column}", F.col(column).isNotNull() & ~F.col(column).isin(*accepted), strict)
+
+
+def within(name: str, value: Column, low: float, high: float, strict: bool = False) -> RowCheck:
+    return RowCheck(f"within_{name}", (value < low) | (value > high), strict)
+
+
+def guarded(rows: DataFrame, checks: Iterable[RowCheck], carrier: str) -> DataFrame:
+    """`rows`, whose reading fails at a row that offends a strict check, so a write of them replaces nothing.
+
+    The condition sits in the column `carrier`, which the write must use: Spark leaves out columns nobody reads.
+    """
+    kind = rows.schema[carrier].dataType
+    for check in checks:
+        if check.strict:
+            failure = F.raise_error(F.lit(f"A row fails the check {check.name}.")).cast(kind)
+            rows = rows.withColumn(carrier, F.when(check.offends, failure).otherwise(F.col(carrier)))
+    return rows
+
+
+def observed(rows: DataFrame, checks: Iterable[RowCheck], observation: Observation) -> DataFrame:
+    """`rows`, counted into `observation` as they pass: rows in all, and offenders of each check.
+
+    To be called last before a write: a stage above a shuffle could run again after an executor is lost, and count twice.
+    """
+    counts = [F.count_if(check.offends).alias(check.name) for check in checks]
+    return rows.observe(observation, F.count(F.lit(1)).alias("rows"), *counts)
+
+
 # Names that start with test_ are the query names; they are operators, not pytest cases.
 for _operator in (test_delay_reasonable, test_not_null, test_unique, test_accepted_values):
     _operator.__test__ = False

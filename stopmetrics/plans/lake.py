@@ -15,6 +15,7 @@ from stopmetrics.functions.typing_rules import parse_operating_day
 from stopmetrics.schema import CLUSTER_COLUMN, DAY_COLUMN
 from stopmetrics.sources.stop_files import conform, require_columns, require_rows, scan_csv
 
+LOOKUP_COLUMNS = ("FAHRT_BEZEICHNER", "BPUIC")
 _DATE_PARTS = {"year": "yyyy", "month": "MM", "day": "dd"}
 _UNDATED = "_undated"  # Spark's listings of the days leave out names that start like this
 
@@ -76,13 +77,23 @@ def _stored(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
+def bloom_options(columns: Iterable[str]) -> dict[str, str]:
+    """Parquet writer options for a Bloom filter on each of `columns`, sized by the distinct values of a row group."""
+    switches = {f"parquet.bloom.filter.enabled#{name}": "true" for name in columns}
+    return switches | {"parquet.bloom.filter.adaptive.enabled": "true"} if switches else {}
+
+
 def create_day_table(raw: DataFrame, table: str, location: str | None = None) -> None:
-    """Create `table` with the columns of `raw` plus the day, no rows, partitioned by day; keep an existing one."""
+    """Create `table` with the columns of `raw` plus the day, no rows, partitioned by day; keep an existing one.
+
+    Its files carry Bloom filters on trip and station, which no sort by another column can serve.
+    """
     columns = ", ".join(f"`{name}` {kind}" for name, kind in raw.dtypes if name != DAY_COLUMN)
     place = f"LOCATION '{location}'" if location else ""
+    options = ", ".join(f"'{name}' '{value}'" for name, value in bloom_options(set(LOOKUP_COLUMNS) & set(raw.columns)).items())
     raw.sparkSession.sql(
         f"CREATE TABLE IF NOT EXISTS {table} ({columns}, {DAY_COLUMN} DATE) "
-        f"USING parquet PARTITIONED BY ({DAY_COLUMN}) {place}"
+        f"USING parquet {f'OPTIONS ({options})' if options else ''} PARTITIONED BY ({DAY_COLUMN}) {place}"
     )
 
 

@@ -253,6 +253,29 @@ SELECT column_name AS "column", CAST(nulls AS BIGINT) AS null_count,
 FROM ({body})""")
 
 
+def _column_profile() -> str:
+    types = _long({name: _dtype(name) for name in RAW_COLUMNS}, "name", "dtype", "raw")
+    nulls = _long({name: f"count(*) - count({name})" for name in RAW_COLUMNS}, "name", "nulls", "raw")
+    return _from_raw(f"""
+SELECT name AS "column", dtype, (SELECT count(*) FROM raw) AS row_count, CAST(nulls AS BIGINT) AS null_count,
+  round(100e0 * nulls / (SELECT greatest(count(*), 1) FROM raw), 3) AS null_rate_pct
+FROM ({types}) JOIN ({nulls}) USING (name) ORDER BY name""")
+
+
+def _build_checks() -> str:
+    nulls = ("operating_day", "trip_id", "station_code", "scheduled_arrival_at")
+    failures = {f"not_null_{name}": f"count(*) - count({name})" for name in nulls} | {
+        "accepted_arrival_status": f"count(*) FILTER (WHERE arrival_status NOT IN {_TARGETS})",
+        "within_arrival_delay": f"count(*) FILTER (WHERE {_IN_FACT} AND NOT ({_WHOLE_DELAY}) BETWEEN -60 AND 180)",
+    }
+    return _sql(
+        _STAGED_STEPS,
+        'SELECT "check", false AS strict, (SELECT count(*) FROM flagged) AS row_count, failures FROM ('
+        + _long(failures, '"check"', "failures", "flagged")
+        + ")",
+    )
+
+
 def _edge_preview() -> str:
     order = ", ".join(f"{name} ASC NULLS LAST" for name in RAW_COLUMNS)
     conditions = {
@@ -465,6 +488,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "column_types": _from_raw(_long({name: _dtype(name) for name in RAW_COLUMNS}, '"column"', "dtype", "raw")),
         "null_rates": _null_rates(),
+        "column_profile": _column_profile(),
         "value_distribution": _distribution("VERKEHRSMITTEL_TEXT"),
         "top_values": _distribution("HALTESTELLEN_NAME", "LIMIT 12"),
         "delay_summary": _summary("TRUE"),
@@ -543,6 +567,7 @@ FROM profiled, (SELECT COALESCE(VERKEHRSMITTEL_TEXT, 'NULL') AS value, count(*)
             "arrival_delay_min > 0 AS is_delayed, arrival_delay_min >= 3 AS is_significantly_delayed FROM delays "
             "WHERE NOT arrival_delay_min BETWEEN -60 AND 180",
         ),
+        "build_checks": _build_checks(),
         "test_not_null": _sql(
             _STAGED_STEPS,
             _long(

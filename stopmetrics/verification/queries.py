@@ -336,6 +336,7 @@ def queries() -> dict[str, Query]:
         "profile_overview": _raw(profile.profile_overview),
         "column_types": _raw(profile.column_types),
         "null_rates": _raw(profile.null_rates),
+        "column_profile": _raw(profile.column_profile),
         "value_distribution": _raw(lambda raw: profile.value_distribution(raw, "VERKEHRSMITTEL_TEXT")),
         "top_values": _raw(lambda raw: profile.top_values(raw, "HALTESTELLEN_NAME", 12)),
         "delay_summary": _raw(profile.delay_summary),
@@ -373,6 +374,7 @@ def queries() -> dict[str, Query]:
         "incremental_ingest": stream_ingest,
         "ingest_corrected": ingest_corrected,
         "refresh_daily_fact": lambda spark, sf_dir: _refreshed(spark, sf_dir)["fct_daily_delays"],
+        "build_checks": _raw(lambda raw: build_warehouse(raw, new_folder(raw.sparkSession, "checked"))["checks"]),
         "refresh_stations": lambda spark, sf_dir: _refreshed(spark, sf_dir)["dim_stations"],
         "monthly_line_delays": _flagged(lambda flagged: warehouse.monthly_line_delays(_state(flagged))),
         "state_histogram": _flagged(lambda flagged: warehouse.state_histogram(_state(flagged))),

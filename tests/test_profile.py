@@ -99,3 +99,20 @@ def test_times_are_parsed_once_and_files_scanned_once(spark, raw, tmp_path):
     for frame in (profile.delay_histogram(stored), slices.delay_range(stored), slices.delay_outliers(stored)):
         assert frame._jdf.queryExecution().optimizedPlan().toString().count("regexp") == once
     assert slices.edge_preview(stored)._jdf.queryExecution().optimizedPlan().toString().count("Relation") == 1
+
+
+def test_column_profile_equals_the_single_ones(spark):
+    frame = spark.createDataFrame(
+        [("1", " 2 ", "true", "1", None, float("nan"), 1), ("-2", ".5", "False", "true", "", 2.5, None), (None,) * 7],
+        "i string, d string, b string, `s t` string, n string, f double, l long",
+    )
+    found = {row["column"]: row for row in profile.column_profile(frame).collect()}
+    assert list(found) == sorted(frame.columns)
+    assert {name: row.dtype for name, row in found.items()} == pairs(profile.column_types(frame))
+    rates = {row["column"]: tuple(row[1:]) for row in profile.null_rates(frame).collect()}
+    assert {name: (row.null_count, row.null_rate_pct) for name, row in found.items()} == rates
+    nothing = profile.column_profile(frame.where("false")).collect()
+    assert [(row.row_count, row.null_count, row.null_rate_pct) for row in nothing] == [(0, 0, 0.0)] * 7
+    assert {row["column"]: row.dtype for row in nothing} == {
+        "i": "string", "d": "string", "b": "string", "s t": "string", "n": "string", "f": "double", "l": "bigint"
+    }

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from conftest import stop
 from stopmetrics.operators import quality
 from stopmetrics.operators.slices import slice_dates_types
-from stopmetrics.plans import build, insights, warehouse
+from stopmetrics.plans import build, insights, lake, warehouse
 from stopmetrics.scratch import new_folder
 
 
@@ -258,3 +258,58 @@ def test_tiles_in_one_pass_equal_the_single_ones(skewed):
         assert sorted(map(str, mine.collect())) == sorted(map(str, single.collect())), name
     plan = whole._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Expand") == 1 and plan.count("LogicalRDD") + plan.count("LocalRelation") + plan.count("Range") == 1
+
+
+def test_build_counts_offenders_as_it_writes(spark, raw, skewed):
+    odd = raw(
+        stop("odd", "1", actual="01.03.2026 20:00:00"),
+        stop("odd", "2", arrival=None),
+        stop("odd", "3", AN_PROGNOSE_STATUS="GUESSED"),
+        stop(None, "4"),
+    )
+    tables = build.build_warehouse(skewed.unionByName(odd), new_folder(spark, "checked"))
+    found = {row.check: row.failures for row in tables["checks"].collect()}
+    flagged = tables["stops_flagged"]
+    nulls = {f"not_null_{row['column']}": row.failures for row in quality.test_not_null(flagged).collect()}
+    values = quality.test_accepted_values(flagged).agg(F.sum("occurrences")).first()[0]
+    late = quality.test_delay_reasonable(tables["int_delays"]).count()
+    assert found == nulls | {"accepted_arrival_status": values, "within_arrival_delay": late}
+    assert found["not_null_trip_id"] == values == late == 1
+    assert {row.row_count for row in tables["checks"].collect()} == {flagged.count()}
+    empty = build.build_warehouse(raw(), new_folder(spark, "checked"))["checks"].collect()
+    assert {(row.row_count, row.failures) for row in empty} == {(0, 0)}
+
+
+def test_a_strict_check_leaves_the_old_tables(spark, raw):
+    root = new_folder(spark, "strict")
+    strict = [*build.stop_checks(), *quality.not_null("line_name", strict=True)]
+    build.build_warehouse(raw(stop("a"), stop("b")), root, checks=strict)
+    names = ("stops_flagged", "fct_daily_delays", "fct_station_delays", "dim_stations", "delay_state")
+
+    def rows():
+        return {name: sorted(map(str, spark.read.parquet(f"{root}/{name}").collect())) for name in names}
+
+    before = rows()
+    with pytest.raises(Exception, match="fails the check not_null_line_name"):
+        build.build_warehouse(raw(stop("a"), stop("c", LINIEN_TEXT=None)), root, days=["2026-03-01"], checks=strict)
+    assert rows() == before
+    assert before["stops_flagged"]
+
+
+def test_bloom_filters_skip_row_groups(spark, raw, table_name, tmp_path):
+    """A trip that no row has, within the least and greatest one, is looked up without its dictionary."""
+
+    def scanned(frame):
+        frame.collect()
+        plan = frame._jdf.queryExecution().executedPlan()
+        return plan.collectLeaves().apply(0).metrics().apply("numOutputRows").value()
+
+    events = [stop(f"trip{i:05d}", str(8500000 + i)) for i in range(0, 2000, 2)]
+    flagged = build.build_warehouse(raw(*events), f"{tmp_path}/warehouse")["stops_flagged"]
+    table = table_name()
+    lake.load_table(raw(*events), table, f"{tmp_path}/days")
+    for path, column in ((f"{tmp_path}/warehouse/stops_flagged", "trip_id"), (f"{tmp_path}/days", "FAHRT_BEZEICHNER")):
+        stored = spark.read.option("parquet.filter.dictionary.enabled", "false").parquet(path)
+        assert scanned(stored.where(F.col(column) == "trip00500")) > 0
+        assert scanned(stored.where(F.col(column) == "trip00501")) == 0
+    assert flagged.count() == len(events)
