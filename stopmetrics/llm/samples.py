@@ -23,7 +23,7 @@ def is_held_out(doc_id: str = "doc_id") -> Column:
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows_per_class: int, classes: int = 2) -> DataFrame:
     """(doc_id, text, label long) of at most `rows_per_class` documents of each class, chosen by a hash of their id.
 
-    Only rows of `labels` with a doc_id and a label that are not held out count; a repeated doc_id counts once. At most
+    Only rows of `labels` with a doc_id and a label that are not held out count; a repeated doc_id counts once, with the text whose hash is least. At most
     `rows_per_class * classes` ids, eight bytes each, are broadcast to the scan of `docs`.
     """
     usable = labels.select(F.col("doc_id").cast("long"), F.col(label).cast("long").alias("label"))
@@ -34,7 +34,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows_per_cla
         part = usable.where(F.col("label") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows_per_class)
         chosen = part if chosen is None else chosen.unionByName(part)
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return texts.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
+    met = texts.join(F.broadcast(chosen), "doc_id")
+    return met.groupBy("doc_id", "label").agg(F.min_by("text", F.xxhash64("text")).alias("text")).select("doc_id", "text", "label")
 
 
 def class_sizes(labels: DataFrame, label: str) -> dict[int, int]:

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stopmetrics.llm.graph import connected_components
@@ -149,13 +149,13 @@ def _links_of_sorted(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator
 
 
 def near_duplicates(docs: DataFrame, words_per_shingle: int = 3, radius: int = 3) -> DataFrame:
-    """(doc_id, simhash, component_id) per row of `docs`; clashing and further columns of `docs` are not used.
+    """(doc_id, simhash, component_id, component) per row of `docs`; clashing and further columns of `docs` are not used.
 
     Fingerprints at `radius` or fewer differing bits are linked, and component_id is the smallest doc_id that links
     reach. Equal fingerprints collapse to one class first, so copies cost one row each however many there are. Every
     class is dealt to one bucket per covering mask; within a bucket only a spanning forest of links leaves the task.
     Buckets hold different fingerprints only, eight bytes each. A row without doc_id takes part but names no
-    component: component_id is NULL where no member has an id. No documents give no rows.
+    component: component_id is NULL where no member has an id; `component` is a fingerprint that names it in any case. No documents give no rows.
     """
     marked = fingerprints(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), words_per_shingle)
     rows = written(marked.select("doc_id", "simhash"), "simhash")
@@ -175,13 +175,28 @@ def near_duplicates(docs: DataFrame, words_per_shingle: int = 3, radius: int = 3
         "simhash", "least", F.coalesce("component", "simhash").alias("component")
     )
     smallest = labelled.groupBy("component").agg(F.min("least").alias("component_id"))
-    by_class = labelled.join(smallest, "component").select("simhash", "component_id")
-    return rows.join(by_class, "simhash").select("doc_id", "simhash", "component_id")
+    by_class = labelled.join(smallest, "component").select("simhash", "component_id", "component")
+    return rows.join(by_class, "simhash").select("doc_id", "simhash", "component_id", "component")
 
 
 def keep_one_per_component(docs: DataFrame, words_per_shingle: int = 3, radius: int = 3) -> DataFrame:
-    """Rows of `docs` whose doc_id names their component, one each; rows without doc_id all stay."""
+    """One row of `docs` per component, of the doc_id that names it; rows without doc_id all stay.
+
+    Rows that repeat a doc_id with another text are rows of their own: each stays that is the first of its doc_id in its
+    component, by fingerprint and then by a hash of the text. Only such rows are fingerprinted again, to tell them apart.
+    """
     found = near_duplicates(docs, words_per_shingle, radius)
-    kept = found.where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.where("doc_id IS NULL"))
+    named = F.col("doc_id") == F.col("component_id")
+    of_id = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.count_if(named).alias("own")).where("own > 0")
+    ids = written(of_id.select("doc_id", (F.col("n") > 1).alias("repeated")), "kept-ids")
+    kept = docs.join(ids.where("NOT repeated").select("doc_id"), "doc_id", "left_semi")
+    repeated = ids.where("repeated").select("doc_id")
+    if not repeated.isEmpty():
+        first = found.join(repeated, "doc_id", "left_semi").where(named).groupBy("doc_id", "component")
+        wanted = first.agg(F.min("simhash").alias("simhash")).select("doc_id", "simhash")
+        whole = docs.select("doc_id", "text", F.struct("*").alias("row"))
+        marked = fingerprints(whole.join(repeated, "doc_id", "left_semi"), words_per_shingle)
+        best = Window.partitionBy("doc_id", "simhash").orderBy(F.xxhash64("text"))
+        ranked = marked.join(wanted, ["doc_id", "simhash"], "left_semi").withColumn("place", F.row_number().over(best))
+        kept = kept.unionByName(ranked.where("place = 1").select("row.*"))
+    return kept.unionByName(docs.where("doc_id IS NULL")).select(*docs.columns)

@@ -155,7 +155,19 @@ def test_near_duplicates_equal_brute_force(spark):
     assert sorted((str(r.doc_id), r.simhash % 2**64, str(r.component_id)) for r in rows) == sorted(expected)
     assert simhash.near_duplicates(empty(spark)).count() == 0
     kept = simhash.keep_one_per_component(docs).where("doc_id IS NOT NULL").collect()
-    assert sorted(r.doc_id for r in kept) == sorted(set(least.values()))
+    assert sorted(r.doc_id for r in kept) == sorted(least.values())
+
+
+def test_a_repeated_id_keeps_its_different_texts(spark):
+    one, other = "alpha beta gamma delta epsilon zeta", "one two three four five six seven"
+    third = "red green blue white black brown"
+    rows = [(1, one, "a"), (1, one, "a"), (1, other, "b"), (2, one, "c"), (2, third, "d"), (3, other, "e"), (None, one, "f")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, simhash string")
+    kept = simhash.keep_one_per_component(docs)
+    assert kept.columns == docs.columns
+    assert sorted(map(str, kept.collect())) == sorted(
+        map(str, spark.createDataFrame([rows[i] for i in (0, 2, 4, 6)], docs.schema).collect())
+    )
 
 
 def test_covering_masks_cover():
