@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import heapq
 import re
 from collections.abc import Iterator
 
@@ -14,8 +13,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 _TEXTS = 500
-_WORDS = 10_000  # words per recursive query
-_LONG = 400  # bytes; longer words have too many merges for a recursion that keeps every round
+_BYTES = 100_000  # bytes of words per recursive query; a longer word has a query of its own
+_IDS = 500_000  # ids per aggregation that decodes
+_SHORT = 32  # bytes of words whose recursion may keep every round; that of longer words keeps the last state only
 # Pieces that a match of the word pattern never crosses: a word with the blank before it, or white space. Texts with
 # control characters that engines class differently are cut by the word pattern alone.
 _COARSE = re.compile(r" ?\S+|\s+(?!\S)|\s+")
@@ -42,6 +42,36 @@ WITH RECURSIVE round(w, p, z, id, n) AS (
 SELECT w, list(id ORDER BY p) AS ids FROM round JOIN last USING (w, n) GROUP BY w ORDER BY w
 """
 
+# The same merges over one row per (word, byte), replaced in place; a token taken in by the one before it has id -1. Where
+# no merge of the new token ranks below it (`vocabulary.settled`), all its occurrences are the next merges in any case, so
+# a round makes them all: of occurrences that overlap, every other one, as merging from the left does.
+_MERGE_IN_PLACE = """
+WITH RECURSIVE round(w, p, z, id) USING KEY (w, p) AS (
+    SELECT w, p, p + 1, id FROM bytes_of_words
+    UNION
+    (
+        WITH pairs AS (
+            SELECT l.w, l.p, r.p AS q, r.z, merged
+            FROM recurring.round l JOIN recurring.round r ON r.w = l.w AND r.p = l.z
+            JOIN merges ON merges.a = l.id AND merges.b = r.id
+            WHERE l.w IN (SELECT w FROM round)
+        ), least AS (
+            SELECT w, min(merged) AS merged FROM pairs GROUP BY w
+        ), linked AS (
+            SELECT pairs.*, settled, row_number() OVER of_word AS n, lag(q) OVER of_word IS NOT DISTINCT FROM p AS chained
+            FROM pairs JOIN least USING (w, merged) JOIN vocabulary ON vocabulary.id = merged
+            WINDOW of_word AS (PARTITION BY w ORDER BY p)
+        ), counted AS (
+            SELECT *, n - max(CASE WHEN chained THEN 0 ELSE n END) OVER (PARTITION BY w ORDER BY p) AS place FROM linked
+        ), contracted AS (
+            SELECT w, p, q, z, merged FROM counted WHERE n = 1 OR (settled AND place % 2 = 0)
+        )
+        SELECT w, p, z, merged FROM contracted UNION ALL SELECT w, q, z, -1 FROM contracted
+    )
+)
+SELECT w, list(id ORDER BY p) AS ids FROM round WHERE id >= 0 GROUP BY w ORDER BY w
+"""
+
 _DECODE = """
 SELECT d, string_agg(token, '' ORDER BY p) AS hex
 FROM ids_of_texts JOIN vocabulary USING (id) GROUP BY d ORDER BY d
@@ -73,7 +103,7 @@ class ByteBpe:
         self.words = regex.compile(pattern)
         self.memo: dict[str, bytes] = {}
         self.memo_limit = memo_limit
-        self.duck = duckdb.connect(config={"threads": 1, "memory_limit": "300MB"})
+        self.duck = duckdb.connect(config={"threads": 1, "memory_limit": "300MB", "temp_directory": ""})
         pairs = [
             (self.ranks[token[:cut]], self.ranks[token[cut:]], rank)
             for token, rank in self.ranks.items()
@@ -82,9 +112,11 @@ class ByteBpe:
         ]
         a, b, merged = (pa.array(column, pa.int32()) for column in zip(*pairs)) if pairs else [pa.array([], pa.int32())] * 3
         self._create("merges", pa.table({"a": a, "b": b, "merged": merged}))
-        names = [(rank, token.hex(), len(token)) for token, rank in self.ranks.items()]
-        ids, hexes, sizes = zip(*names)
+        unsettled = {part for left, right, rank in pairs for part in (left, right) if rank <= part}
+        names = [(rank, token.hex(), len(token), rank not in unsettled) for token, rank in self.ranks.items()]
+        ids, hexes, sizes, settled = zip(*names)
         rows = {"id": pa.array(ids, pa.int32()), "token": pa.array(hexes), "size": pa.array(sizes, pa.int32())}
+        rows["settled"] = pa.array(settled)
         self._create("vocabulary", pa.table(rows))
 
     def _create(self, name: str, rows: pa.Table) -> None:
@@ -99,65 +131,45 @@ class ByteBpe:
         return cls._loaded[path, pattern]
 
     def merge_words(self, words: list[bytes]) -> list[np.ndarray]:
-        """Token ids of each word."""
+        """Token ids of each word, by one recursive query per `_BYTES` bytes of words."""
         found: list[np.ndarray | None] = [None] * len(words)
-        recursive = []
+        short, long = [], []
         for at, word in enumerate(words):
             whole = self.ranks.get(word)
             if whole is not None:
                 found[at] = np.array([whole], dtype="<u4")
-            elif len(word) > _LONG:
-                found[at] = self._merge_long(word)
             else:
-                recursive.append(at)
-        single = np.array([self.ranks[bytes([byte])] for byte in range(256)], dtype=np.int32)
-        for first in range(0, len(recursive), _WORDS):
-            part = recursive[first : first + _WORDS]
-            sizes = np.array([len(words[at]) for at in part])
-            raw = np.frombuffer(b"".join(words[at] for at in part), np.uint8)
-            place = np.arange(len(raw)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            rows = pa.table(
-                {
-                    "w": pa.array(np.repeat(np.arange(len(part), dtype=np.int32), sizes)),
-                    "p": pa.array(place.astype(np.int32)),
-                    "id": pa.array(single[raw]),
-                }
-            )
-            self.duck.register("bytes_of_words", rows)
-            lists = self.duck.execute(_MERGE).to_arrow_table().column("ids").combine_chunks()
-            self.duck.unregister("bytes_of_words")
-            offsets = lists.offsets.to_numpy()
-            values = lists.values.to_numpy().astype("<u4")
-            for at, a, b in zip(part, offsets[:-1].tolist(), offsets[1:].tolist()):
-                found[at] = values[a:b]
+                (short if len(word) <= _SHORT else long).append(at)
+        for query, places in ((_MERGE, short), (_MERGE_IN_PLACE, long)):
+            behind = np.cumsum([len(words[at]) for at in places])
+            first = 0
+            while first < len(places):
+                before = behind[first - 1] if first else 0
+                end = max(first + 1, int(np.searchsorted(behind, before + _BYTES, side="right")))
+                part = places[first:end]
+                for at, ids in zip(part, self._merge([words[at] for at in part], query)):
+                    found[at] = ids
+                first = end
         return found
 
-    def _merge_long(self, word: bytes) -> np.ndarray:
-        """The same merges by a heap of pairs, for words of unusual length."""
-        token: list[bytes | None] = [word[i : i + 1] for i in range(len(word))]
-        after, before = list(range(1, len(word) + 1)), list(range(-1, len(word) - 1))
-        heap: list[tuple[int, int, bytes, bytes]] = []
-
-        def offer(at: int) -> None:
-            if 0 <= at and after[at] < len(word):
-                left, right = token[at], token[after[at]]
-                rank = self.ranks.get(left + right)
-                if rank is not None:
-                    heapq.heappush(heap, (rank, at, left, right))
-
-        for at in range(len(word)):
-            offer(at)
-        while heap:
-            _, at, left, right = heapq.heappop(heap)
-            behind = after[at]
-            if token[at] != left or behind >= len(word) or token[behind] != right:
-                continue
-            token[at], token[behind], after[at] = left + right, None, after[behind]
-            if after[at] < len(word):
-                before[after[at]] = at
-            offer(before[at])
-            offer(at)
-        return np.array([self.ranks[one] for one in token if one is not None], dtype="<u4")
+    def _merge(self, words: list[bytes], query: str) -> list[np.ndarray]:
+        single = np.array([self.ranks[bytes([byte])] for byte in range(256)], dtype=np.int32)
+        sizes = np.array([len(word) for word in words])
+        raw = np.frombuffer(b"".join(words), np.uint8)
+        place = np.arange(len(raw)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        rows = pa.table(
+            {
+                "w": pa.array(np.repeat(np.arange(len(words), dtype=np.int32), sizes)),
+                "p": pa.array(place.astype(np.int32)),
+                "id": pa.array(single[raw]),
+            }
+        )
+        self.duck.register("bytes_of_words", rows)
+        lists = self.duck.execute(query).to_arrow_table().column("ids").combine_chunks()
+        self.duck.unregister("bytes_of_words")
+        offsets = lists.offsets.to_numpy().tolist()
+        values = lists.values.to_numpy().astype("<u4")
+        return [values[a:b] for a, b in zip(offsets, offsets[1:])]
 
     def _learn(self, pieces: list[str]) -> dict[str, bytes]:
         """Ids of new pieces of text, by way of their words."""
@@ -185,22 +197,18 @@ class ByteBpe:
 
     def decode(self, encoded: list[np.ndarray]) -> list[bytes]:
         """Bytes of each list of ids."""
-        texts = [b""] * len(encoded)
+        found: list[list[bytes]] = [[] for _ in encoded]
         sizes = np.array([len(ids) for ids in encoded], dtype=np.int64)
-        if not sizes.sum():
-            return texts
-        rows = pa.table(
-            {
-                "d": pa.array(np.repeat(np.arange(len(encoded), dtype=np.int32), sizes)),
-                "p": pa.array((np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)).astype(np.int32)),
-                "id": pa.array(np.concatenate(encoded).astype(np.int32)),
-            }
-        )
-        self.duck.register("ids_of_texts", rows)
-        for d, text in self.duck.execute(_DECODE).fetchall():
-            texts[d] = bytes.fromhex(text)
-        self.duck.unregister("ids_of_texts")
-        return texts
+        owner = np.repeat(np.arange(len(encoded), dtype=np.int32), sizes)
+        ids = np.concatenate([np.zeros(0, "<u4"), *encoded]).astype(np.int32)
+        for first in range(0, len(ids), _IDS):
+            part = slice(first, first + _IDS)
+            rows = {"d": owner[part], "p": np.arange(len(ids[part]), dtype=np.int32), "id": ids[part]}
+            self.duck.register("ids_of_texts", pa.table(rows))
+            for d, text in self.duck.execute(_DECODE).fetchall():
+                found[d].append(bytes.fromhex(text))
+            self.duck.unregister("ids_of_texts")
+        return [b"".join(one) for one in found]
 
 
 def encode_documents(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:

@@ -174,5 +174,5 @@ def test_registered_names():
     from stopmetrics.llm import queries
 
     numbers = sorted(int(name[2:].split("_")[0]) for name in queries.queries())
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert set(queries.oracle_sql()) <= set(queries.queries())

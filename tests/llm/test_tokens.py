@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import random
 import zlib
 
 import numpy as np
@@ -171,11 +172,34 @@ def test_byte_bpe_encodes_like_tiktoken(text):
     assert bpe.decode([np.array(expected)]) == [text.encode()]
 
 
-def test_long_words_merge_alike():
+def test_long_words_merge_like_tiktoken(tik, monkeypatch):
+    monkeypatch.setattr(byte_bpe, "_BYTES", 20_000)
+    bpe = byte_bpe.ByteBpe(RANKS, public_tokenizers.PATTERN)
+    pick = random.Random(6)
+    words = ["ab" * 150, "the" * 120, "abcdefghijklmnopqrstuvwxyz" * 14, "x" * 32, "x" * 33, "x" * 399, "=" * 5001, "xy" * 30_000 + "z"]
+    words += ["".join(pick.choices("aex", k=pick.randrange(20, 200))) for _ in range(60)]
+    words += ["".join(chr(pick.randrange(0x4E00, 0x5E00)) for _ in range(130)) for _ in range(120)]
+    for word, ids in zip(words, bpe.merge_words([word.encode() for word in words])):
+        assert ids.tolist() == tik._encode_single_piece(word), word[:60]
+    settings_of = "SELECT current_setting('temp_directory'), current_setting('memory_limit')"
+    folder, limit = bpe.duck.execute(settings_of).fetchone()
+    assert not folder and limit == "286.1 MiB"
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.text(st.sampled_from("abx=é日"), min_size=1, max_size=60), min_size=1, max_size=8))
+def test_both_recursions_make_the_same_merges(words):
+    bpe = byte_bpe.ByteBpe.of_worker(RANKS, public_tokenizers.PATTERN)
+    raw = [word.encode() for word in words]
+    all_rounds, in_place = (bpe._merge(raw, query) for query in (byte_bpe._MERGE, byte_bpe._MERGE_IN_PLACE))
+    assert [ids.tolist() for ids in all_rounds] == [ids.tolist() for ids in in_place]
+
+
+def test_decoding_in_parts(tik, monkeypatch):
+    monkeypatch.setattr(byte_bpe, "_IDS", 7)
     bpe = byte_bpe.ByteBpe.of_worker(RANKS, public_tokenizers.PATTERN)
-    for word in (b"ab" * 150, b"thethe" * 60, bytes(range(97, 123)) * 14, b"x" * 399):
-        recursive = bpe.merge_words([word])[0].tolist()
-        assert bpe._merge_long(word).tolist() == recursive
+    given_texts = ["", "one two three four five six seven eight nine ten", "日本語", ""]
+    assert bpe.decode([np.array(tik.encode_ordinary(text), "<u4") for text in given_texts]) == [t.encode() for t in given_texts]
 
 
 def test_byte_bpe_of_documents(spark, tik):
