@@ -214,6 +214,10 @@ def test_merkle_comparison_equals_brute_force(spark):
         assert row.edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
         assert row.fingerprint == merkle.merkle_tree(text).fingerprint
         assert row.edited_fingerprint == merkle.merkle_tree(edited).fingerprint
+        tree, changed = merkle.merkle_tree(text), merkle.merkle_tree(edited)
+        assert [(span.start, span.end) for span in row.edited_spans] == merkle.edited_spans(tree, changed)
+        assert row.near_edited == pytest.approx(plain_likeness(tree, changed))
+        assert row.near_next == pytest.approx(plain_likeness(tree, merkle.merkle_tree(after)))
         assert 0 <= row.near_next <= 1 and (row.fingerprint == row.edited_fingerprint) == (text == edited)
         if len(text.split()) > 40 and len(set(text)) > 8:
             assert row.near_edited > 0.5
@@ -246,5 +250,50 @@ def test_likeness_ends(a, b, expected):
     assert merkle.likeness(merkle.merkle_tree(a).fingerprint, merkle.merkle_tree(b).fingerprint) == expected
 
 
+def plain_likeness(tree, other):
+    """Share of common leaves, by counting all of them."""
+    mine, theirs = ([phrase % 2**24 for phrase in one.phrases] for one in (tree, other))
+    if tree.root == other.root:
+        return 1.0
+    shared = sum(min(mine.count(leaf), theirs.count(leaf)) for leaf in set(mine))
+    return 2 * shared / (len(mine) + len(theirs)) if mine and theirs else 0.0
+
+
+def plain_lacking(tree, other):
+    """How many bytes the leaves have of which the other tree has fewer, by counting all of them."""
+    size = dict(zip(tree.phrases, np.diff([0, *tree.ends]).tolist()))
+    return sum(size[leaf] * max(0, tree.phrases.count(leaf) - other.phrases.count(leaf)) for leaf in size)
+
+
+def test_likeness_and_edits_by_the_tree_equal_counting_all_leaves():
+    pick = random.Random(9)
+    lines = [f"{name} number {i} went {way} and came home again late." for i in range(25) for name in "AB" for way in ("up", "down")]
+    given_texts = [text or "" for text in texts() if len(text or "") < 10_000]
+    for _ in range(25):
+        held = pick.choices(lines, k=pick.randrange(1, 60))
+        given_texts.append("\n".join(held))
+        held[pick.randrange(len(held))] = "an edited line, with other words"
+        given_texts.append("\n".join(held) + pick.choice(["", "\n", "\n\n"]))
+    trees = [merkle.merkle_tree(text) for text in given_texts]
+    for tree, text in zip(trees, given_texts):
+        assert tree.fingerprint.count(";") == len(tree.sections) and tree.ends[-1:] == [len(text.encode())][: len(tree.ends)]
+        assert merkle._leaves(tree.fingerprint) == len(tree.phrases) == tree.first[-1]
+    for at, tree in enumerate(trees):
+        for other in trees[max(0, at - 3) : at + 4]:
+            near = merkle.likeness(tree.fingerprint, other.fingerprint)
+            assert abs(near - plain_likeness(tree, other)) < 1e-12
+    once = [f"{i} is a line of its own, told once in this text of {i * 7} words.\n" for i in range(60)]
+    for _ in range(20):
+        changed = [line for line in once if pick.random() > 0.1]
+        changed[pick.randrange(len(changed))] = "Something else altogether.\n"
+        a, b = merkle.merkle_tree("".join(once)), merkle.merkle_tree("".join(changed))
+        for tree, other in ((a, b), (b, a)):
+            spans = merkle.edited_spans(tree, other)
+            assert sum(end - start for start, end in spans) == plain_lacking(tree, other)
+            edited = [span for span, paragraph in zip(tree.spans, tree.paragraphs) if paragraph not in other.paragraphs]
+            assert {byte for span in spans for byte in range(*span)} <= {byte for span in edited for byte in range(*span)}
+            assert all(end < start for (_, end), (start, _) in zip(spans, spans[1:]))
+
+
 def test_fixture_has_long_texts():
     assert max(len(text or "") for text in texts()) > 30_000 and F is not None
