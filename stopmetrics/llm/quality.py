@@ -126,8 +126,9 @@ def fit_quality(docs: DataFrame, labels: DataFrame, rating: str = "quality", gra
 
 
 def score_quality(docs: DataFrame, model: OrdinalModel, tail_from: int = 1) -> DataFrame:
-    """`docs` (text, ...) with latent, expected_grade and tail_probability, P(grade >= tail_from); such columns are
-    replaced, all rows stay. A NULL or empty text has latent 0, the score of a text without evidence."""
+    """`docs` (text, ...) with latent, expected_grade, tail_probabilities, P(grade >= 1), P(grade >= 2) and so on, and
+    tail_probability, P(grade >= tail_from); such columns are replaced, all rows stay. A NULL or empty text has latent 0,
+    the score of a text without evidence. A repeated doc_id is scored row by row."""
     dimensions = len(model.weights) // 4
 
     def of_batch(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -141,4 +142,5 @@ def score_quality(docs: DataFrame, model: OrdinalModel, tail_from: int = 1) -> D
     expected = F.lit(0.0)
     for tail in tails:
         expected = expected + tail
-    return marked.withColumn("expected_grade", expected).withColumn("tail_probability", tails[tail_from - 1])
+    columns = {"expected_grade": expected, "tail_probabilities": F.array(*tails), "tail_probability": tails[tail_from - 1]}
+    return marked.withColumns(columns)

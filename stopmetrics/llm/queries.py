@@ -80,11 +80,21 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three grades from the labels: 2 for good quality without toxicity, 1 for one of the two, 0 for neither.
+    `tail_probability` is P(grade >= 2), by which documents are selected; `least_probability` is P(grade >= 1)."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    model = quality.fit_quality(docs, _table(spark, sf_dir, "labels"))
-    scored = quality.score_quality(docs, model)
-    keep = (F.col("tail_probability") >= 0.5).cast("int").alias("keep")
-    return scored.select("doc_id", is_held_out().alias("held_out"), "expected_grade", "tail_probability", keep)
+    labels = _table(spark, sf_dir, "labels")
+    rated = labels.select("doc_id", (F.col("quality") + 1 - F.col("toxic")).alias("rating"))
+    model = quality.fit_quality(docs, rated, rating="rating", grades=3)
+    scored = quality.score_quality(docs, model, tail_from=2)
+    return scored.select(
+        "doc_id",
+        is_held_out().alias("held_out"),
+        "expected_grade",
+        "tail_probability",
+        F.element_at("tail_probabilities", 1).alias("least_probability"),
+        (F.col("tail_probability") >= 0.5).cast("int").alias("keep"),
+    )
 
 
 def op7_merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:

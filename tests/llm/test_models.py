@@ -121,6 +121,52 @@ def test_quality_separates_and_orders_grades(spark):
     assert quality.score_quality(empty(spark), quality.fit_quality(docs.limit(0), rated)).count() == 0
 
 
+def test_ordinal_fit_reaches_what_a_slow_optimiser_finds():
+    pick = random.Random(12)
+    rows, grades = [], []
+    for _ in range(90):
+        held = sorted(pick.sample(range(5), pick.randrange(0, 4)))
+        rows.append(np.array(held, dtype=np.int64))
+        lean = 2 * (0 in held) - 1.5 * (1 in held) + pick.gauss(0, 1)
+        grades.append(int(lean > -0.5) + int(lean > 1))
+    ridge = 0.01
+
+    def loss(weights, thresholds):
+        total = 0.0
+        for row, grade in zip(rows, grades):
+            z = sum(weights[j] for j in row) / max(1, len(row)) ** 0.5
+            tail = [1.0, *(1 / (1 + np.exp(t - z)) for t in thresholds), 0.0]
+            total -= np.log(max(tail[grade] - tail[grade + 1], 1e-300))
+        return total / len(rows) + ridge / 2 * sum(w * w for w in weights)
+
+    at, step = [0.0] * 5 + [-0.5, 0.5], 1.0  # one coordinate at a time, with shrinking steps
+    best = loss(at[:5], at[5:])
+    while step > 1e-3:
+        moved = False
+        for j in range(7):
+            for change in (step, -step):
+                tried = [*at]
+                tried[j] += change
+                if tried[5] < tried[6] and (now := loss(tried[:5], tried[5:])) < best - 1e-12:
+                    at, best, moved = tried, now, True
+        step = step if moved else step / 2
+    model = quality.fit_ordinal(rows, np.array(grades), 3, 5, steps=600, ridge=ridge)
+    assert list(model.thresholds) == sorted(model.thresholds) and len(model.thresholds) == 2
+    assert loss(model.vector.tolist(), model.thresholds) < best + 1e-3
+    assert np.allclose(model.vector, at[:5], atol=0.1) and np.allclose(model.thresholds, at[5:], atol=0.1)
+
+
+def test_quality_scores_equal_a_plain_computation(spark):
+    model = quality.OrdinalModel(np.linspace(-2, 3, 64).astype("<f4").tobytes(), (-0.5, 0.25, 1.0))
+    docs = documents(spark).withColumn("tail_probabilities", F.lit("replaced"))
+    for row in quality.score_quality(docs, model, tail_from=3).collect():
+        held = quality.features(row.text, 64, {})
+        z = float(np.linspace(-2, 3, 64).astype("<f4")[held].sum()) / max(1, len(held)) ** 0.5
+        tails = [1 / (1 + np.exp(t - z)) for t in model.thresholds]
+        assert np.allclose(row.tail_probabilities, tails, atol=1e-5) and tails == sorted(tails, reverse=True)
+        assert abs(row.expected_grade - sum(tails)) < 1e-4 and row.tail_probability == row.tail_probabilities[2]
+
+
 @pytest.mark.parametrize("copies", [0, 300])
 def test_top_k_equals_brute_force(spark, monkeypatch, copies):
     monkeypatch.setattr(voronoi, "_BLOCK_ROWS", 50)
