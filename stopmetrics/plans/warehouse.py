@@ -46,7 +46,11 @@ def rename_snake_case(raw: DataFrame) -> DataFrame:
 
 
 def typed_stops(raw: DataFrame) -> DataFrame:
-    """All raw columns typed and renamed, in one projection."""
+    """All raw columns typed and renamed, in one projection.
+
+    As whole-stage code, the typing of all columns is one method of more than 8000 bytes, which the JVM never compiles but
+    interprets row by row. `exists` has no such code, so Spark generates the projection apart, in small methods.
+    """
 
     def typed(name: str) -> Column:
         value = F.col(name)
@@ -55,7 +59,7 @@ def typed_stops(raw: DataFrame) -> DataFrame:
         if name in _STAMPS:
             return parse_timestamp(value)
         if name in _FLAGS:
-            return normalize_flag(value)
+            return F.exists(F.array(value), normalize_flag)
         if name in _STATUSES:
             return F.upper(value)
         if name in _NUMBERS:

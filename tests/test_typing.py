@@ -62,6 +62,16 @@ def test_normalize_flag(spark, text, expected):
     assert value(spark, text, typing_rules.normalize_flag) is expected
 
 
+def test_texts_cut_at_fixed_places_type_like_the_pattern(spark):
+    """Odd texts, most of the length and shape that is cut at fixed places, by the pattern alone and by the whole rule."""
+    pieces = ["01.02.2026 10:00:05", "01.02.2026 10:00", " 1.02.2026 10:00", "31.02.2026 10:00", "01.02.2026 1:2:3"]
+    texts = {text[:at] + letter + text[at + 1 :] for text in pieces for at in range(len(text)) for letter in " 9:.Z+\x01\n"}
+    df = spark.createDataFrame([(text,) for text in sorted(texts | set(pieces))], "x string")
+    by_pattern = F.regexp_replace("x", typing_rules._SWISS_STAMP, "$3-$2-$1 $4").try_cast("timestamp_ntz")
+    assert df.where(by_pattern.isNotNull()).count() > 50
+    assert df.where(~by_pattern.eqNullSafe(typing_rules.parse_timestamp(F.col("x")))).collect() == []
+
+
 def test_normalize_status_and_label(spark):
     assert value(spark, "real", typing_rules.normalize_status) == "REAL"
     assert value(spark, None, typing_rules.normalize_status) == ""

@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from conftest import stop
 from stopmetrics.operators import quality
+from stopmetrics.operators.profile import column_profile
 from stopmetrics.operators.slices import slice_dates_types
 from stopmetrics.plans import build, insights, lake, warehouse
 from stopmetrics.scratch import new_folder
+from stopmetrics.verification.stop_view import raw_stop_events
 
 
 def clock(minutes, form="%d.%m.%Y %H:%M:%S"):
@@ -114,6 +116,46 @@ def test_dedup_keeps_the_real_stop_and_leaves_no_repeats(skewed, raw):
     assert [row.is_pass_through for row in kept] == [False]
 
 
+def longest_generated_method(df):
+    """Bytes of the longest method of whole-stage code; the JVM interprets those of more than 8000."""
+    debug = getattr(getattr(df.sparkSession._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
+    stages = debug.codegenStringSeq(df._jdf.queryExecution().executedPlan())
+    return max((stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())), default=0)
+
+
+@pytest.fixture
+def given(spark, tmp_path):
+    """A folder with one order of the given tables, from which the stop view is made."""
+    tables = {
+        "nation": ("n_nationkey int, n_name string", (1, "N")),
+        "customer": ("c_custkey long, c_nationkey int", (7, 1)),
+        "supplier": ("s_suppkey long, s_name string", (5, "S")),
+        "orders": ("o_orderkey long, o_custkey long, o_orderpriority string", (4, 7, "1-URGENT")),
+        "lineitem": (
+            "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_returnflag string",
+            (4, 34, 5, 2, 9.0, "N"),
+        ),
+    }
+    for name, (schema, row) in tables.items():
+        spark.createDataFrame([row], schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    return str(tmp_path)
+
+
+def test_generated_methods_are_short_enough_to_be_compiled(spark, given):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        view = raw_stop_events(spark, given)
+        for made in (warehouse.typed_stops(view), warehouse.stops_flagged(view), lake.with_day(view), column_profile(view)):
+            assert longest_generated_method(made) <= 8000
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert view.select("BETRIEBSTAG", "ANKUNFTSZEIT", "AB_PROGNOSE").first() == (
+        "05.01.2026",
+        "05.01.2026 05:34",
+        "05.01.2026 05:54:39",
+    )
+
+
 def test_quality_checks(raw):
     staged = warehouse.stg_stop_events(
         raw(stop(), stop("t2", arrival=None), stop("t3", actual="01.03.2026 13:01:00"), stop("t4", FAELLT_AUS_TF="1"))
