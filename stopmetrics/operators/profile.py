@@ -16,6 +16,7 @@ from stopmetrics.operators.slices import DEFAULT_RANGE_MIN, check_range, delay_r
 _INTEGER = r"^\s*[+-]?\d+\s*$"
 _NUMBER = r"^\s*[+-]?(?:(?:\d+(?:\.\d*)?|\.\d+)(?:[eE][+-]?\d+)?|(?i:inf|infinity))\s*$"
 _BOOLEAN = r"^(?i:true|false)$"
+_TYPED_START = r"^(?:\s*[+-]?(?:[\d.]|(?i:inf))|(?i:true|false)$)"  # what none of the above can do without
 
 
 def _column(name: str) -> Column:
@@ -31,10 +32,11 @@ def profile_overview(df: DataFrame) -> DataFrame:
 
 
 def _value_class(name: str) -> Column:
-    """Of one text: 1 integer, 2 decimal, 4 boolean, 8 other, 0 NULL."""
+    """Of one text: 1 integer, 2 decimal, 4 boolean, 8 other, 0 NULL. Most texts are other, told by one pattern."""
     value = _column(name)
     return (
         F.when(value.isNull(), 0)
+        .when(~value.rlike(_TYPED_START), 8)
         .when(value.rlike(_INTEGER), 1)
         .when(value.rlike(_NUMBER), 2)
         .when(value.rlike(_BOOLEAN), 4)

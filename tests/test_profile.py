@@ -116,3 +116,18 @@ def test_column_profile_equals_the_single_ones(spark):
     assert {row["column"]: row.dtype for row in nothing} == {
         "i": "string", "d": "string", "b": "string", "s t": "string", "n": "string", "f": "double", "l": "bigint"
     }
+
+
+def test_texts_of_no_type_meet_one_pattern(spark):
+    """The class of a text by the three patterns alone; a text that none can match is told by the first one tried."""
+    texts = ["", " ", "7", " +7 ", "-7.5e3", ".5", ".", "1e", "inf", " -Infinity", "infer", "true", "True", " true", "trues", "x7", "7x", "\n7", "é"]
+    df = spark.createDataFrame([(text,) for text in texts], "x string")
+    value = F.col("x")
+    by_patterns = (
+        F.when(value.rlike(profile._INTEGER), 1)
+        .when(value.rlike(profile._NUMBER), 2)
+        .when(value.rlike(profile._BOOLEAN), 4)
+        .otherwise(8)
+    )
+    assert df.where(by_patterns != profile._value_class("x")).collect() == []
+    assert "_TYPED_START" in dir(profile) and df.where(~value.rlike(profile._TYPED_START)).count() >= 5
