@@ -9,6 +9,8 @@ from stopmetrics.schema import DELAY_STATUSES, TRUE_TEXTS
 
 _SWISS_STAMP = r"^\s*(\d{1,2})\.(\d{1,2})\.(\d{4})\s+(\d{1,2}:\d{1,2}(?::\d{1,2})?)\s*$"
 _FULL_STAMP = r"^\d\d\.\d\d\.\d{4} \d\d:\d\d(?::\d\d)?$"
+_FULL_SWISS_DAY = r"^\d\d\.\d\d\.\d{4}\z"
+_FULL_ISO_DAY = r"^\d{4}-\d\d-\d\d\z"
 # Groups 3-2-1 of a Swiss day or 4-5-6 of an ISO day; any other text matches the last branch and loses all digits.
 _DAY = r"(?s)^\s*(?:(\d{1,2})\.(\d{1,2})\.(\d{4})|(\d{4})-(\d{1,2})-(\d{1,2}))\s*$|^.*$"
 
@@ -33,8 +35,13 @@ def parse_timestamp(text: Column) -> Column:
 
 
 def parse_operating_day(text: Column) -> Column:
-    """`YYYY-MM-DD` or `DD.MM.YYYY` as a date; NULL for anything else, also for a date with a time."""
-    return F.regexp_replace(text.cast("string"), _DAY, "$3$4-$2$5-$1$6").try_cast("date")
+    """`YYYY-MM-DD` or `DD.MM.YYYY` as a date; NULL for anything else, also for a date with a time.
+
+    Texts of full length are cut at fixed places, as in `parse_timestamp`; only others pay for a replacement.
+    """
+    text = text.cast("string")
+    iso = F.when(text.rlike(_FULL_ISO_DAY), text).when(text.rlike(_FULL_SWISS_DAY), swiss_day_to_iso(text))
+    return iso.otherwise(F.regexp_replace(text, _DAY, "$3$4-$2$5-$1$6")).try_cast("date")
 
 
 def normalize_status(status: Column) -> Column:

@@ -1,11 +1,13 @@
 from __future__ import annotations
 
 import datetime as dt
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from stopmetrics.functions import links, measures, typing_rules
+from stopmetrics.verification.stop_view import _day_text, raw_stop_events
 
 
 def value(spark, text, rule):
@@ -117,3 +119,21 @@ def test_whole_minutes_truncate_toward_zero(spark):
 def test_absolute_url(spark, link, expected):
     base = "https://h.example.org/en/set/page"
     assert value(spark, link, lambda x: links.absolute_url(x, base)) == expected
+
+
+def test_view_looks_its_times_up(spark):
+    """The date formatter works for days far from the first one only, so it is no part of the steps before the last."""
+    folder = Path("/root/testdata/sf0.001")
+    if not folder.exists():
+        pytest.skip("the given tables are not here")
+    plan = raw_stop_events(spark, str(folder))._jdf.queryExecution().optimizedPlan().toString()
+    assert "timestampadd" not in plan.lower()
+
+
+@pytest.mark.parametrize("number", [-36890, -101, -100, -1, 0, 59, 100, 101, 40000, None])
+def test_day_texts_near_and_far(spark, number):
+    rows = spark.createDataFrame([(number,)], "n int").select(
+        _day_text(F.col("n"), True).alias("swiss"), _day_text(F.col("n"), False).alias("iso")
+    )
+    day = None if number is None else dt.date(2026, 1, 1) + dt.timedelta(number)
+    assert tuple(rows.first()) == ((day.strftime("%d.%m.%Y"), day.isoformat()) if day else (None, None))
