@@ -58,7 +58,7 @@ def load_changed(
     """Load every daily CSV file under `root` that is new or changed since the last load; returns their days.
 
     Each file replaces its day in `table`; rows of another day than the file's are dropped. The one pass that writes also
-    counts the rows of each file: one without rows of its day fails the load, and clears nothing. The ledger gets its
+    notes whose rows it met: a file without rows of its day fails the load, and clears nothing. The ledger gets its
     entries after the table is written, so a load that was stopped between them is done again, with the same result, and
     a load with nothing new writes nothing. Two files for one day fail before anything is read. The driver holds one
     entry per changed file. All changed files must share one header. Days whose file disappeared stay.
@@ -76,11 +76,11 @@ def load_changed(
     own = parse_operating_day(F.col("BETRIEBSTAG")) == F.col("source_day").cast("date")
     kept = conform(rows.where(own))
     counts = Observation()
-    counted = kept.observe(counts, *[F.count_if(F.col("source_day") == day).alias(day) for day in days])
+    counted = kept.observe(counts, F.collect_set("source_day").alias("held"))  # a value per changed file at most
     days_held = set()
     if not kept.isEmpty():  # ends at the first row; adaptive execution would drop the metrics of a plan without any
         replace_days(counted.drop("source_day"), table, days, filled=days)
-        days_held = {day for day in days if counts.get[day]}
+        days_held = set(counts.get["held"])
     if days_held < set(days):
         raise ValueError(f"No stop events of their day in the files of {', '.join(sorted(set(days) - days_held))}.")
     batch = dt.datetime.now(dt.timezone.utc)

@@ -280,3 +280,16 @@ def test_ledger_takes_nothing_from_a_failed_load(spark, tmp_path, table_name):
     daily(tmp_path, "2026-03-05", "y")
     with pytest.raises(ValueError, match="Two changed files"):
         load_changed(spark, str(tmp_path), table, entries, place)
+
+
+def test_ledger_notes_all_days_in_one_metric(spark, tmp_path, table_name, monkeypatch):
+    """A metric per day is a comparison per row and day."""
+    noted = []
+    kind = type(spark.range(1))
+    observe = kind.observe
+    monkeypatch.setattr(kind, "observe", lambda df, name, *exprs: noted.append(len(exprs)) or observe(df, name, *exprs))
+    days = [f"2026-03-{day:02}" for day in range(1, 6)]
+    for day in days:
+        daily(tmp_path, day, "a")
+    assert load_changed(spark, str(tmp_path), table_name(), new_folder(spark, "ledger"), new_folder(spark, "days")) == days
+    assert noted == [1]
