@@ -25,7 +25,7 @@ from stopmetrics.sources.stop_files import (
 )
 
 _SOURCE = rf"^(.*{DAILY_NAME})"
-_ADDED = ("file", "source", "source_day", "is_header")
+_ADDED = ("file", "source_day", "is_header")
 
 
 def _check_files(spark: SparkSession, seen: list, single_files: bool) -> None:
@@ -59,12 +59,12 @@ def _load_batch(caller: SparkSession, batch: DataFrame, table: str, single_files
     their file's are dropped, as in any day load.
     """
     own_day = parse_operating_day(F.col("BETRIEBSTAG")).cast("string") == F.col("source_day")
-    counts = batch.groupBy("file", "source", "source_day").agg(
+    counts = batch.groupBy("file", "source_day").agg(
         F.count_if("is_header").alias("headers"),
         F.count_if(~F.col("is_header")).alias("n"),
         F.count_if(~F.col("is_header") & own_day).alias("n_own"),
     )
-    seen = counts.collect()
+    seen = counts.withColumn("source", F.regexp_extract("file", _SOURCE, 1)).collect()
     if not seen:
         return
     _check_files(caller, seen, single_files)
@@ -112,7 +112,6 @@ def incremental_ingest(
     files = reader.csv(input_glob).select(
         "*",
         path.alias("file"),
-        F.regexp_extract(path, _SOURCE, 1).alias("source"),
         F.regexp_extract(path, _SOURCE, 2).alias("source_day"),
     )
     marked = without_surplus(files, len(names)).withColumn("is_header", header)
