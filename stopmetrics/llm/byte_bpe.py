@@ -6,6 +6,8 @@ import base64
 import hashlib
 import re
 from collections.abc import Iterator
+from itertools import filterfalse
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +21,9 @@ _SHORT = 32  # bytes of words whose recursion may keep every round; that of long
 # Pieces that a match of the word pattern never crosses: a word with the blank before it, or white space. Texts with
 # control characters that engines class differently are cut by the word pattern alone.
 _COARSE = re.compile(r" ?\S+|\s+(?!\S)|\s+")
+# Pieces that are one word, or one and the signs behind it, whatever the Unicode version of an engine.
+_PLAIN = re.compile("( ?[A-Za-zÀ-ÖØ-öø-ÿŒœŸ]+)([!-/:-@[-`{-~]*)")
+_KEPT = 64  # characters of pieces and words that are kept in memory
 _ODD = re.compile("[\x1c-\x1f\x85᠎​⁠﻿]")
 
 # A row is a token of a word: its first byte, the byte after it, its id, and the round. Joins find the token that follows.
@@ -72,9 +77,10 @@ WITH RECURSIVE round(w, p, z, id) USING KEY (w, p) AS (
 SELECT w, list(id ORDER BY p) AS ids FROM round WHERE id >= 0 GROUP BY w ORDER BY w
 """
 
+# One sort of all rows instead of one per text; the connection has one thread, so the aggregate takes rows in that order.
 _DECODE = """
-SELECT d, string_agg(token, '' ORDER BY p) AS hex
-FROM ids_of_texts JOIN vocabulary USING (id) GROUP BY d ORDER BY d
+SELECT d, string_agg(token, '') AS bytes
+FROM (SELECT d, token FROM ids_of_texts JOIN vocabulary USING (id) ORDER BY d, p) GROUP BY d
 """
 
 
@@ -88,13 +94,13 @@ class ByteBpe:
     """Encoder and decoder of one vocabulary, with a DuckDB connection of its own.
 
     Encoding joins the tokens of every word with a table of all pairs that form a token, and contracts the leftmost
-    pair of least rank per word and round, until no pair is left. Pieces of text met before are answered from memory, of which
-    the later half goes when it holds `memo_limit` of them.
+    pair of least rank per word and round, until no pair is left. Words met before are answered from memory, whatever signs
+    follow them; the later half of it goes when it holds more than `memo_limit` words.
     """
 
     _loaded: dict[tuple[str, str], ByteBpe] = {}
 
-    def __init__(self, path: str, pattern: str, memo_limit: int = 300_000) -> None:
+    def __init__(self, path: str, pattern: str, memo_limit: int = 500_000) -> None:
         import duckdb
         import regex
 
@@ -113,11 +119,13 @@ class ByteBpe:
         a, b, merged = (pa.array(column, pa.int32()) for column in zip(*pairs)) if pairs else [pa.array([], pa.int32())] * 3
         self._create("merges", pa.table({"a": a, "b": b, "merged": merged}))
         unsettled = {part for left, right, rank in pairs for part in (left, right) if rank <= part}
-        names = [(rank, token.hex(), len(token), rank not in unsettled) for token, rank in self.ranks.items()]
-        ids, hexes, sizes, settled = zip(*names)
-        rows = {"id": pa.array(ids, pa.int32()), "token": pa.array(hexes), "size": pa.array(sizes, pa.int32())}
+        # A token's bytes as the characters of these numbers.
+        names = [(rank, token.decode("latin-1"), len(token), rank not in unsettled) for token, rank in self.ranks.items()]
+        ids, spelled, sizes, settled = zip(*names)
+        rows = {"id": pa.array(ids, pa.int32()), "token": pa.array(spelled), "size": pa.array(sizes, pa.int32())}
         rows["settled"] = pa.array(settled)
         self._create("vocabulary", pa.table(rows))
+        self.decimals = pa.array([b"%d " % number for number in range(max(ids) + 1)], pa.large_binary())
 
     def _create(self, name: str, rows: pa.Table) -> None:
         self.duck.register("given", rows)
@@ -132,12 +140,15 @@ class ByteBpe:
 
     def merge_words(self, words: list[bytes]) -> list[np.ndarray]:
         """Token ids of each word, by one recursive query per `_BYTES` bytes of words."""
-        found: list[np.ndarray | None] = [None] * len(words)
+        return [np.frombuffer(ids, dtype="<u4") for ids in self._ids_of_words(words)]
+
+    def _ids_of_words(self, words: list[bytes]) -> list[bytes]:
+        found = [b""] * len(words)
         short, long = [], []
         for at, word in enumerate(words):
             whole = self.ranks.get(word)
             if whole is not None:
-                found[at] = np.array([whole], dtype="<u4")
+                found[at] = whole.to_bytes(4, "little")
             else:
                 (short if len(word) <= _SHORT else long).append(at)
         for query, places in ((_MERGE, short), (_MERGE_IN_PLACE, long)):
@@ -148,7 +159,7 @@ class ByteBpe:
                 end = max(first + 1, int(np.searchsorted(behind, before + _BYTES, side="right")))
                 part = places[first:end]
                 for at, ids in zip(part, self._merge([words[at] for at in part], query)):
-                    found[at] = ids
+                    found[at] = ids.tobytes()
                 first = end
         return found
 
@@ -171,25 +182,43 @@ class ByteBpe:
         values = lists.values.to_numpy().astype("<u4")
         return [values[a:b] for a, b in zip(offsets, offsets[1:])]
 
-    def _learn(self, pieces: list[str]) -> dict[str, bytes]:
-        """Ids of new pieces of text, by way of their words."""
-        cut = [self.words.findall(piece) for piece in pieces]
-        distinct = list({word for one in cut for word in one})
-        ids = dict(zip(distinct, self.merge_words([word.encode("utf-8", "surrogatepass") for word in distinct])))
-        return {piece: b"".join([ids[word].tobytes() for word in one]) for piece, one in zip(pieces, cut)}
+    def _learn(self, pieces: set[str]) -> list[str]:
+        """Put the ids of new pieces of text into memory, by way of their words; returns those not to stay there."""
+        memo = self.memo
+        words: set[str] = set()
+        ended, cores, signs, others = [], [], [], []
+        for piece in pieces:
+            plain = _PLAIN.fullmatch(piece)
+            if plain is None:
+                others.append(piece)
+            elif plain[2]:
+                ended.append(piece)
+                cores.append(plain[1])
+                signs.append(plain[2])
+            else:
+                words.add(piece)
+        cut = [self.words.findall(piece) for piece in others]
+        new = list(words.union(cores, signs, *cut).difference(memo))
+        memo.update(zip(new, self._ids_of_words([word.encode("utf-8", "surrogatepass") for word in new])))
+        memo.update(zip(ended, map(add, map(memo.__getitem__, cores), map(memo.__getitem__, signs))))
+        memo.update([(piece, b"".join([memo[word] for word in one])) for piece, one in zip(others, cut)])
+        several = [piece for piece, one in zip(others, cut) if len(one) > 1]
+        return ended + several + [word for word in new if len(word) > _KEPT]
 
     def _group(self, texts: list[str | None]) -> list[bytes]:
         memo = self.memo
         if len(memo) > self.memo_limit:  # what came first is frequent and stays
-            for piece in list(memo)[self.memo_limit // 2 :]:
-                del memo[piece]
+            for word in list(memo)[self.memo_limit // 2 :]:
+                del memo[word]
         cut = [[text] if text and _ODD.search(text) else _COARSE.findall(text or "") for text in texts]
-        once = self._learn(list({piece for one in cut for piece in one if piece not in memo}))
-        memo.update((piece, ids) for piece, ids in once.items() if len(piece) <= 64)
-        known = {piece: ids for piece, ids in once.items() if len(piece) > 64}
-        if not known:
-            return [b"".join([memo[piece] for piece in one]) for one in cut]
-        return [b"".join([memo[piece] if piece in memo else known[piece] for piece in one]) for one in cut]
+        fresh: set[str] = set()
+        for one in cut:
+            fresh.update(filterfalse(memo.__contains__, one))
+        passing = self._learn(fresh)
+        ids = [b"".join(map(memo.__getitem__, one)) for one in cut]
+        for piece in passing:
+            memo.pop(piece, None)
+        return ids
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit integers; none for a NULL or empty text."""
@@ -206,10 +235,16 @@ class ByteBpe:
             rows = {"d": owner[part], "p": np.arange(len(ids[part]), dtype=np.int32), "id": ids[part]}
             self.duck.register("ids_of_texts", pa.table(rows))
             for d, text in self.duck.execute(_DECODE).fetchall():
-                found[d].append(bytes.fromhex(text))
+                found[d].append(text.encode("latin-1"))
             self.duck.unregister("ids_of_texts")
         return [b"".join(one) for one in found]
 
+    def digest(self, ids: np.ndarray) -> str:
+        """sha256 of the decimal ids joined by blanks."""
+        written = self.decimals.take(pa.array(ids))
+        end = np.frombuffer(written.buffers()[1], np.int64)[len(ids)]
+        return hashlib.sha256(memoryview(written.buffers()[2])[: end - 1] if end else b"").hexdigest()
+
 
 def encode_documents(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """`docs` (text, ...) with `ids`, the token ids as little-endian 32-bit integers; a column of that name is replaced.
@@ -254,7 +289,7 @@ def round_trip(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
                 encoded = bpe.encode(batch.slice(at, _TEXTS).to_pylist())
                 lists = [np.frombuffer(ids, dtype="<u4") for ids in encoded]
                 columns[0].extend(encoded)
-                columns[1].extend(hashlib.sha256(" ".join(map(str, one.tolist())).encode()).hexdigest() for one in lists)
+                columns[1].extend(map(bpe.digest, lists))
                 columns[2].extend(bpe.decode(lists))
             yield pa.StructArray.from_arrays(
                 [pa.array(column, field.type) for column, field in zip(columns, kinds)], fields=list(kinds)

@@ -195,6 +195,20 @@ def test_both_recursions_make_the_same_merges(words):
     assert [ids.tolist() for ids in all_rounds] == [ids.tolist() for ids in in_place]
 
 
+def test_byte_bpe_merges_a_word_once_whatever_signs_follow(tik, monkeypatch):
+    bpe = byte_bpe.ByteBpe(RANKS, public_tokenizers.PATTERN, memo_limit=40)
+    merged = []
+    merge = bpe._merge
+    monkeypatch.setattr(bpe, "_merge", lambda words, query: merged.extend(words) or merge(words, query))
+    rows = ["a zorbelqux, zorbelqux", "so zorbelqux.%%% zorbelqux### it's zorbelqux's été*** ... '' 42&&&", "if zorbelqux;"]
+    for text in [*rows, "zorbelqux" * 20 + ", x", "\0 \0a\xff zorbelqux'll ’s", *texts()]:
+        ids = np.frombuffer(bpe.encode([text])[0], "<u4")
+        assert ids.tolist() == tik.encode_ordinary(text or "")
+        assert bpe.decode([ids]) == [(text or "").encode()]
+        assert bpe.digest(ids) == hashlib.sha256(" ".join(map(str, ids.tolist())).encode()).hexdigest()
+    assert merged.count(b" zorbelqux") == 1
+
+
 def test_decoding_in_parts(tik, monkeypatch):
     monkeypatch.setattr(byte_bpe, "_IDS", 7)
     bpe = byte_bpe.ByteBpe.of_worker(RANKS, public_tokenizers.PATTERN)
