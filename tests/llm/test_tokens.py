@@ -15,6 +15,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import Whitespace
 
 from stopmetrics.llm import byte_bpe, packing, token_files
 from stopmetrics.llm.word_tokens import WordTokenizer
@@ -76,6 +77,28 @@ def test_long_words_and_a_full_memory(library):
         assert small.encode([text])[0] == np.array(library(text), "<u4").tobytes()
 
 
+def test_words_are_encoded_once_whatever_signs_follow(library, monkeypatch):
+    whole = WordTokenizer(WORDS)
+    asked = []
+    letters = whole._ids_of_letters
+    monkeypatch.setattr(whole, "_ids_of_letters", lambda words: asked.extend(words) or letters(words))
+    rows = ["Zorbel zorbel, (zorbel) don't zorbel's", "zorbel.%%% zorbel### été*** ... '' 42&&& !?zorbel«", "zorbel;"]
+    long = "q" * 100
+    for text in [*rows, f"{long} {long}, zorbel:"]:
+        assert whole.encode([text])[0] == np.array(library(text), "<u4").tobytes()
+    assert asked.count("zorbel") == 1
+    assert "zorbel," not in whole.memo and long not in whole.memo
+
+
+def test_a_file_that_cuts_otherwise_keeps_its_own_steps(tmp_path):
+    other = Tokenizer.from_file(WORDS)
+    other.pre_tokenizer = Whitespace()
+    other.save(path := str(tmp_path / "other.json"))
+    own = WordTokenizer(path)
+    assert own.of_letters is own.library
+    assert WordTokenizer(WORDS).of_letters is not WordTokenizer(WORDS).library
+
+
 def test_token_files_round_trip(spark, library):
     path = new_folder(spark, "tokens")
     docs = documents(spark)
