@@ -5,10 +5,13 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _FOLDER_SETTING = "spark.checkpoint.dir"
+_FREES_SETTING = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -39,3 +42,21 @@ def written(df: DataFrame, label: str) -> DataFrame:
     path = new_folder(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def freed_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Writes of a DataFrame within this block drop their shuffle files when they end.
+
+    Without it these files stay until the driver happens to collect its garbage, so a job of several writes holds the
+    shuffles of all of them at once. The setting is the caller's again afterwards.
+    """
+    before = spark.conf.get(_FREES_SETTING, None)
+    spark.conf.set(_FREES_SETTING, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_FREES_SETTING)
+        else:
+            spark.conf.set(_FREES_SETTING, before)

@@ -13,7 +13,7 @@ from stopmetrics.functions import measures, typing_rules
 from stopmetrics.operators import profile, quality, slices
 from stopmetrics.plans import insights, lake, warehouse
 from stopmetrics.plans.build import build_warehouse
-from stopmetrics.scratch import new_folder, written
+from stopmetrics.scratch import freed_shuffles, new_folder, written
 from stopmetrics.sources import archive, stop_files
 from stopmetrics.streaming.ingest import incremental_ingest
 from stopmetrics.streaming.ledger import load_changed
@@ -34,6 +34,8 @@ _WRITE_OPTIONS = {
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
 }
+# Daily files are as long as all their rows in text; Spark's readers tell a compressed file by its name.
+_DAILY_OPTIONS = _WRITE_OPTIONS | {"compression": "gzip"}
 
 
 def _write_csv(df: DataFrame, label: str) -> str:
@@ -53,7 +55,8 @@ def _write_daily_csv(raw: DataFrame, label: str) -> str:
     root = new_folder(raw.sparkSession, label)
     day = typing_rules.parse_operating_day(F.col("BETRIEBSTAG")).cast("string")
     named = raw.withColumn("file", F.concat(day, F.lit("_istdaten.csv")))
-    named.hint("rebalance", "file").write.options(**_WRITE_OPTIONS).partitionBy("file").csv(root)
+    with freed_shuffles(raw.sparkSession):
+        named.hint("rebalance", "file").write.options(**_DAILY_OPTIONS).partitionBy("file").csv(root)
     return root
 
 

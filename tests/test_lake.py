@@ -1,15 +1,19 @@
 from __future__ import annotations
 
 import datetime as dt
+import time
+from pathlib import Path
 
 import pytest
 
 from conftest import stop
 from stopmetrics.plans import lake
 from stopmetrics.schema import RAW_COLUMNS
-from stopmetrics.scratch import new_folder, shared_folder
+from stopmetrics.scratch import freed_shuffles, new_folder, shared_folder
+from stopmetrics.sources.stop_files import scan_latest
 from stopmetrics.streaming.ingest import incremental_ingest, reload_day
 from stopmetrics.streaming.ledger import load_changed, read_ledger
+from stopmetrics.verification import queries
 
 
 
@@ -293,3 +297,44 @@ def test_ledger_notes_all_days_in_one_metric(spark, tmp_path, table_name, monkey
         daily(tmp_path, day, "a")
     assert load_changed(spark, str(tmp_path), table_name(), new_folder(spark, "ledger"), new_folder(spark, "days")) == days
     assert noted == [1]
+
+
+def shuffle_files(spark) -> set[str]:
+    found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    names = {found.apply(i).getName() for i in range(found.size())}
+    return {name for name in names if name.startswith("shuffle_")}
+
+
+def left_over(spark, before: set[str]) -> set[str]:
+    """Shuffle files that are there for longer than Spark takes to remove them."""
+    for _ in range(50):
+        if not shuffle_files(spark) - before:
+            break
+        time.sleep(0.1)
+    return shuffle_files(spark) - before
+
+
+def test_daily_files_are_compressed_and_leave_no_shuffle_behind(spark, raw):
+    events = [stop("a"), *[stop(f"b{i}", BETRIEBSTAG="2026-03-02", AN_PROGNOSE=f" 02.03.2026 10:{i}:00 ") for i in (10, 11)]]
+    before = shuffle_files(spark)
+    root = queries._write_daily_csv(raw(*events), "daily")
+    assert not left_over(spark, before)
+    files = [path for path in Path(root).rglob("part-*")]
+    assert {path.parent.name for path in files} == {"file=2026-03-01_istdaten.csv", "file=2026-03-02_istdaten.csv"}
+    assert all(path.name.endswith(".csv.gz") for path in files)
+    latest = {(row.FAHRT_BEZEICHNER, row.AN_PROGNOSE) for row in scan_latest(spark, root).collect()}
+    assert latest == {("b10", " 02.03.2026 10:10:00 "), ("b11", " 02.03.2026 10:11:00 ")}
+
+
+def test_the_setting_that_frees_shuffles_is_given_back(spark):
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    with pytest.raises(ValueError), freed_shuffles(spark):
+        assert spark.conf.get(name) == "true"
+        raise ValueError
+    assert spark.conf.get(name, None) == before
+    spark.conf.set(name, "false")
+    with freed_shuffles(spark):
+        pass
+    assert spark.conf.get(name) == "false"
+    spark.conf.unset(name)
