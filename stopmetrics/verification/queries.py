@@ -204,7 +204,8 @@ def ingest_corrected(spark: SparkSession, sf_dir: str) -> DataFrame:
     load_changed(spark, root, table, ledger, location)
     of_day = typing_rules.parse_operating_day(F.col("BETRIEBSTAG")) == F.lit(RELOADED_DAY).cast("date")
     corrected = raw.where(of_day & ~typing_rules.normalize_flag(F.col("FAELLT_AUS_TF")))
-    corrected.write.mode("overwrite").options(**_WRITE_OPTIONS).csv(f"{root}/file={RELOADED_DAY}_istdaten.csv")
+    with freed_shuffles(spark):
+        corrected.write.mode("overwrite").options(**_DAILY_OPTIONS).csv(f"{root}/file={RELOADED_DAY}_istdaten.csv")
     for expected in ([RELOADED_DAY], []):
         days = load_changed(spark, root, table, ledger, location)
         if days != expected:
