@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable, Sequence
+import uuid
+from collections.abc import Iterable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +17,7 @@ from stopmetrics.operators.slices import REASONABLE_DELAY_MIN, exclude_pass_thro
 from stopmetrics.plans import warehouse
 from stopmetrics.plans.lake import bloom_options
 from stopmetrics.schema import KNOWN_STATUSES
+from stopmetrics.scratch import freed_shuffles
 
 
 def stop_checks() -> list[RowCheck]:
@@ -49,15 +52,33 @@ def store(
         passing = quality.observed(balanced, checks, observation) if observation else balanced
         writer = passing.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         writer = writer.options(**bloom_options(looked_up))
-        writer.partitionBy("operating_day").parquet(path)
+        with freed_shuffles(df.sparkSession):
+            writer.partitionBy("operating_day").parquet(path)
         nothing = df.sparkSession.createDataFrame([], df.drop("operating_day").schema)
         for day in cleared:
             nothing.write.mode("overwrite").parquet(f"{path}/operating_day={day.isoformat()}")
     else:
-        df.sortWithinPartitions(cluster).write.mode("overwrite").parquet(path)
+        with freed_shuffles(df.sparkSession):
+            df.sortWithinPartitions(cluster).write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def _set_aside(df: DataFrame, root: str) -> Iterator[DataFrame]:
+    """`df`, stored under `root` for the time of this block; a folder without rows stays behind.
+
+    Deduplicated and laid out by day in one write, all stops would be on disk as two shuffles of whole rows at once. In two
+    writes they are there as one shuffle and as Parquet files, which take about a quarter of it.
+    """
+    spark, path = df.sparkSession, f"{root}/_aside/{uuid.uuid4().hex}"
+    try:
+        with freed_shuffles(spark):
+            df.write.parquet(path)
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        df.limit(0).write.mode("overwrite").parquet(path)
+
+
 STOP_LOOKUPS = ("trip_id", "station_code")
 
 _MAKE = {
@@ -89,8 +110,8 @@ def build_warehouse(
     their logs: no stop of an untouched day is read.
 
     The write of the stops counts the offenders of `checks`, by default those of `stop_checks`, without another scan; the
-    table `checks` reports them, for the rows that this build wrote. A strict check fails that write, the first of all, so
-    no table changes.
+    table `checks` reports them, for the rows that this build wrote. A strict check fails that write, the first of a table,
+    so no table changes.
     """
     checks = stop_checks() if checks is None else list(checks)
     observation = Observation()
@@ -102,7 +123,8 @@ def build_warehouse(
         stopping = exclude_pass_through(rows, normalize_flag(F.col("DURCHFAHRT_TF")))
         held = {row[0] for row in stopping.select(day).distinct().collect()}
         empty = [day for day in chosen if day not in held]
-    flagged = store(warehouse.stops_flagged(rows), f"{root}/stops_flagged", "transport_type", True, empty, checks, observation, STOP_LOOKUPS)
+    with _set_aside(warehouse.stops_flagged(rows), root) as stops:
+        flagged = store(stops, f"{root}/stops_flagged", "transport_type", True, empty, checks, observation, STOP_LOOKUPS)
     changed = flagged if chosen is None else flagged.where(F.col("operating_day").isin(chosen))
     state = store(warehouse.delay_state(changed), f"{root}/delay_state", "transport_type", cleared=empty)
     new = state if chosen is None else state.where(F.col("operating_day").isin(chosen))

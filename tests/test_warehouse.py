@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import stop
+from test_lake import left_over, shuffle_files
 from stopmetrics.operators import quality
 from stopmetrics.operators.profile import column_profile
 from stopmetrics.operators.slices import slice_dates_types
@@ -355,3 +356,21 @@ def test_bloom_filters_skip_row_groups(spark, raw, table_name, tmp_path):
         assert scanned(stored.where(F.col(column) == "trip00500")) > 0
         assert scanned(stored.where(F.col(column) == "trip00501")) == 0
     assert flagged.count() == len(events)
+
+
+def test_a_build_holds_one_shuffle_of_whole_rows_at_a_time(spark, raw, tmp_path, monkeypatch):
+    """What is laid out by day was deduplicated by an earlier write; nothing of that stays, and no shuffle."""
+    plans, store = {}, build.store
+
+    def noted(df, path, *args, **kwargs):
+        plans[path.rpartition("/")[2]] = df._jdf.queryExecution().optimizedPlan().toString()
+        return store(df, path, *args, **kwargs)
+
+    monkeypatch.setattr(build, "store", noted)
+    before = shuffle_files(spark)
+    tables = build.build_warehouse(raw(stop("a"), stop("a", arrival="01.03.2026 09:00"), stop("b")), str(tmp_path))
+    assert not left_over(spark, before)
+    assert "Window" not in plans["stops_flagged"] and "Relation" in plans["stops_flagged"]
+    assert tables["stops_flagged"].count() == 2
+    (aside,) = (tmp_path / "_aside").iterdir()
+    assert spark.read.schema(tables["stops_flagged"].schema).parquet(str(aside)).count() == 0
